@@ -2,3 +2,6 @@
 
 from salesloom.catalog.registry import QUERIES, SQL  # noqa: F401
 from salesloom.catalog import dashboards  # noqa: F401
+from salesloom.catalog import analysis  # noqa: F401
+from salesloom.catalog import streams  # noqa: F401
+from salesloom.catalog import foundation  # noqa: F401

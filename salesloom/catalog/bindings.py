@@ -144,6 +144,17 @@ class Tables:
         from salesloom.operators.joins import items_with_sale
         return items_with_sale(self.items, self.sales, ["companyId", "sector", "saleTime"])
 
+    def shops(self) -> Tables:
+        """The same data with every client as a company of its own, and categories as brands.
+
+        Small companies differ more from their market, so more rules find something.
+        """
+        other = Tables(self.spark, self.folder)
+        other.sales = self.sales.withColumn("companyId", F.col("clientId").cast("string"))
+        other.items = self.items.withColumn("brand", F.col("categoryId"))
+        other.products = self.products.withColumn("brand", F.col("categoryId"))
+        return other
+
 
 VIEWS = {
     "v_sales": """
@@ -267,6 +278,20 @@ FROM (SELECT c.companyId, c.sector, c.revenue, c.salesCount, c.avgSaleAmount, m.
 }
 
 
+def shop_sql(sql: str) -> str:
+    """The statement asked of the shops: every view that depends on the sales is replaced by its twin."""
+    return re.sub(r"\b([vt])_(sales|items|products|placed|branded|company\w*|market\w*|brands\w*|employees|gaps)\b",
+                  lambda m: m[0] if m[0] == "v_employees" else f"{m[1]}_shop_{m[2]}", sql)
+
+
+VIEWS.update({shop_sql(name): shop_sql(text) for name, text in VIEWS.items() if shop_sql(name) != name})
+VIEWS.update({
+    "v_shop_sales": "SELECT * REPLACE (CAST(clientId AS STRING) AS companyId) FROM v_sales",
+    "v_shop_items": "SELECT * REPLACE (categoryId AS brand) FROM v_items",
+    "v_shop_products": "SELECT * REPLACE (categoryId AS brand) FROM v_products",
+})
+
+
 def with_views(sql: str) -> str:
     """The statement with the views it uses in front of it."""
     needed: list[str] = []

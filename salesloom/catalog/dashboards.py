@@ -220,13 +220,13 @@ def _(b): return d.company_in_sector(b.sales, COMPANY, SECTOR)
 
 @query("a24_combined_market", """
 SELECT 'topProducts' AS section, key, totalRevenue, CAST(NULL AS DOUBLE) AS totalSales, totalQuantity FROM (
-  SELECT CAST(productId AS STRING) AS key, sum(totalRevenue) AS totalRevenue, CAST(sum(totalQuantity) AS DOUBLE) AS totalQuantity
+  SELECT CAST(productId AS STRING) AS key, CAST(sum(CAST(totalRevenue AS DECIMAL(28,4))) AS DOUBLE) AS totalRevenue, CAST(sum(totalQuantity) AS DOUBLE) AS totalQuantity
   FROM (SELECT *, row_number() OVER (PARTITION BY sector ORDER BY totalRevenue DESC, productId) AS r
         FROM t_market_products WHERE sector IN ('BUILDING', 'MACHINERY'))
   WHERE r <= 50 GROUP BY productId ORDER BY sum(totalQuantity) DESC, productId LIMIT 20)
-UNION ALL SELECT 'salesByRegion', region, sum(revenue), CAST(sum(salesCount) AS DOUBLE), NULL FROM t_region
+UNION ALL SELECT 'salesByRegion', region, CAST(sum(CAST(revenue AS DECIMAL(28,4))) AS DOUBLE), CAST(sum(salesCount) AS DOUBLE), NULL FROM t_region
   WHERE sector IN ('BUILDING', 'MACHINERY') GROUP BY region
-UNION ALL SELECT 'summary', NULL, sum(marketRevenue), CAST(sum(totalCompanies) AS DOUBLE), NULL FROM t_market
+UNION ALL SELECT 'summary', NULL, CAST(sum(CAST(marketRevenue AS DECIMAL(28,4))) AS DOUBLE), CAST(sum(totalCompanies) AS DOUBLE), NULL FROM t_market
   WHERE sector IN ('BUILDING', 'MACHINERY')""")
 def _(b):
     return d.combined_market(

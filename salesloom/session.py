@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for these jobs at any size. Partition counts are left to the cluster: AQE
 # coalesces or splits them from measured sizes. Broadcasts are never hinted anywhere in this package;
@@ -46,3 +46,14 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         _local_folder = _local_folder or tempfile.mkdtemp(prefix="salesloom-")
         base = _local_folder
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """The result written to the work folder and read back.
+
+    For a small table that several later steps use: its inputs are passed over once, and a lost
+    executor costs nothing but the unfinished tasks.
+    """
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
