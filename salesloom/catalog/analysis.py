@@ -9,7 +9,7 @@ from salesloom.plans import rootcause as rc
 from salesloom.plans import tables as t
 from salesloom.session import staged
 from salesloom.catalog.bindings import shop_sql
-from salesloom.functions.measures import add_up, total
+from salesloom.functions.measures import total
 from salesloom.operators.filters import completed
 from salesloom.operators.joins import items_with_sale
 
@@ -218,7 +218,7 @@ def company_categories(b):
 
 
 def market_categories(own):
-    return own.groupBy("sector", "category").agg(add_up("revenue").alias("revenue"))
+    return own.groupBy("sector", "category").agg(total("revenue").alias("revenue"))
 
 
 BRANDS_SQL = """

@@ -20,7 +20,7 @@ def sales_of_events(events: DataFrame) -> DataFrame:
     number = lambda first: F.concat(F.lit("_00"), (slot - first).cast("string"))
     return events.select(
         F.col("event_id").alias("saleId"), F.col("ts").alias("saleTime"),
-        F.col("value").cast("decimal(18,2)").alias("totalAmount"),
+        F.col("value").alias("totalAmount"),
         F.when(slot < 4, F.concat(F.lit("pharmacy"), number(-1)))
         .when(slot < 8, F.concat(F.lit("mall"), number(3)))
         .otherwise(F.concat(F.lit("distribution"), number(7))).alias("companyId"),
@@ -44,7 +44,7 @@ def items_of_sales(sales: DataFrame, part: DataFrame) -> DataFrame:
     keyed = lines.select(
         "saleId", ((F.col("saleId") * 7 + F.col("line")) % 200).alias("productId"),
         quantity.cast("int").alias("quantity"), (price % 200 + 1).cast("double").alias("price"),
-        (quantity * (price % 200 + 1)).cast("decimal(18,4)").alias("subtotal"),
+        (quantity * (price % 200 + 1)).cast("double").alias("subtotal"),
         "sector", "companyId", "saleTime")
     brands = part.select(F.col("p_partkey").alias("productId"), F.col("p_brand").alias("brand"))
     return keyed.join(brands, "productId")
@@ -68,7 +68,7 @@ class Tables:
         orders = self.read("orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
         return orders.select(
             F.col("o_orderkey").alias("saleId"), F.col("o_orderdate").alias("saleTime"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("totalAmount"),
+            F.col("o_totalprice").alias("totalAmount"),
             F.col("n_name").alias("companyId"),
             F.concat(F.lit("branch_00"), (F.col("o_custkey") % 5 + 1).cast("string")).alias("branchId"),
             F.col("r_name").alias("region"), F.col("n_name").alias("city"),
@@ -81,12 +81,11 @@ class Tables:
     @functools.cached_property
     def items(self) -> DataFrame:
         lines = self.read("lineitem").join(self.read("part"), F.col("l_partkey") == F.col("p_partkey"))
-        discount = 1 - F.col("l_discount").cast("decimal(4,2)")
         return lines.select(
             F.col("l_orderkey").alias("saleId"), F.col("l_partkey").alias("productId"),
             F.col("l_quantity").cast("int").alias("quantity"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
-            (F.col("l_extendedprice").cast("decimal(18,2)") * discount).cast("decimal(18,4)").alias("subtotal"),
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("subtotal"),
             F.when(F.col("l_partkey") % 25 != 0, F.col("p_brand")).alias("brand"),
             F.col("p_type").alias("categoryId"))
 
@@ -123,7 +122,7 @@ class Tables:
     def payments(self) -> DataFrame:
         kind, status = F.col("o_orderkey") % 5, F.col("o_orderstatus")
         return self.read("orders").select(
-            F.col("o_orderkey").alias("saleId"), F.col("o_totalprice").cast("decimal(18,2)").alias("paymentAmount"),
+            F.col("o_orderkey").alias("saleId"), F.col("o_totalprice").alias("paymentAmount"),
             F.when(kind == 0, "cash").when(kind == 1, "cheque").when(kind == 2, "card")
             .when(kind == 3, "bank_transfer").otherwise("other").alias("paymentType"),
             F.when(status == "F", "completed").when(status == "O", "pending").otherwise("refunded")

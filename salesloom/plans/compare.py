@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions import buckets
-from salesloom.functions.measures import add_up, gap, percent, ratio, total
+from salesloom.functions.measures import gap, percent, ratio, total
 from salesloom.operators.filters import ALL, Filters, apply_filters, completed, known
 from salesloom.operators.topk import top, top_per_group
 
@@ -29,7 +29,7 @@ def _against(sales: DataFrame, market_keys: Sequence[str], f: Filters, names: di
     own = done.groupBy("companyId", *market_keys).agg(
         total("totalAmount").alias("revenue"), F.count("*").alias("salesCount"))
     market = own.groupBy(*market_keys).agg(
-        add_up("revenue").alias("marketRevenue"), F.sum("salesCount").alias("marketSales"),
+        total("revenue").alias("marketRevenue"), F.sum("salesCount").alias("marketSales"),
         F.count("companyId").alias("companiesCount"))
     both = (own.join(market, list(market_keys))
             .withColumn("avgSaleAmount", ratio(F.col("revenue"), F.col("salesCount")))
@@ -67,7 +67,7 @@ def market_trend(sales: DataFrame, period: str = "daily", f: Filters = ALL) -> D
     """Market per period with the average over the companies that sold in it."""
     by_company = company_trend(sales, period, f)
     sums = by_company.groupBy("sector", "bucket").agg(
-        add_up("revenue").alias("revenue"), F.sum("salesCount").alias("salesCount"),
+        total("revenue").alias("revenue"), F.sum("salesCount").alias("salesCount"),
         F.count("companyId").alias("companies"))
     return top(sums.select("sector", "bucket", "revenue", "salesCount",
                            ratio(F.col("revenue"), F.col("companies")).alias("avgRevenue")),
@@ -82,11 +82,11 @@ def compare_products(company_products: DataFrame, market_products: DataFrame, k:
     """
     name = F.coalesce("productName", F.col("productId").cast("string")).alias("productName")
     own = company_products.select("companyId", "sector", name, F.col("totalRevenue").alias("revenue")) \
-        .groupBy("companyId", "sector", "productName").agg(add_up("revenue").alias("companyRevenue"))
-    own_total = own.groupBy("companyId", "sector").agg(add_up("companyRevenue").alias("companyTotal"))
+        .groupBy("companyId", "sector", "productName").agg(total("revenue").alias("companyRevenue"))
+    own_total = own.groupBy("companyId", "sector").agg(total("companyRevenue").alias("companyTotal"))
     market = market_products.select("sector", name, F.col("totalRevenue").alias("revenue")) \
-        .groupBy("sector", "productName").agg(add_up("revenue").alias("marketRevenue"))
-    market_total = market.groupBy("sector").agg(add_up("marketRevenue").alias("marketTotal"))
+        .groupBy("sector", "productName").agg(total("revenue").alias("marketRevenue"))
+    market_total = market.groupBy("sector").agg(total("marketRevenue").alias("marketTotal"))
     leaders = top_per_group(market, ["sector"], ["-marketRevenue", "productName"], k).drop("rank")
 
     pairs = own_total.select("companyId", "sector").join(leaders, "sector")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions import buckets, names
-from salesloom.functions.measures import add_up, mean, or_zero, ratio, sales_measures, total
+from salesloom.functions.measures import or_zero, ratio, sales_measures, total
 from salesloom.operators.filters import ALL, Filters, apply_filters, equal_to, has_employee
 from salesloom.operators.joins import (items_of_matching_sales, items_with_category, items_with_product,
                                        items_with_sale, lookup)
@@ -55,7 +55,7 @@ def summary_from_tables(company: DataFrame, market: DataFrame, f: Filters,
         return sales_summary(sales, f)
     if rows is None:
         raise ValueError("without company and sector the sales are needed")
-    sums = rows.agg(or_zero(add_up("revenue")).alias("totalRevenue"),
+    sums = rows.agg(or_zero(total("revenue")).alias("totalRevenue"),
                     or_zero(F.sum("salesCount")).alias("totalSales"))
     return sums.withColumn("averageSaleAmount", ratio(F.col("totalRevenue"), F.col("totalSales")))
 
@@ -269,12 +269,12 @@ def combined_market(market: DataFrame, region: DataFrame, market_products: DataF
     for other in listed[1:]:
         rows = rows.unionByName(other)
     products = top(rows.groupBy("productId").agg(F.sum("totalQuantity").alias("totalQuantity"),
-                                                 add_up("totalRevenue").alias("totalRevenue")),
+                                                 total("totalRevenue").alias("totalRevenue")),
                    ["-totalQuantity", "productId"], k)
     chosen = F.col("sector").isin(*sectors)
     regions = region.filter(chosen).groupBy("region").agg(
-        add_up("revenue").alias("totalRevenue"), F.sum("salesCount").alias("totalSales"))
-    summary = market.filter(chosen).agg(add_up("marketRevenue").alias("totalRevenue"),
+        total("revenue").alias("totalRevenue"), F.sum("salesCount").alias("totalSales"))
+    summary = market.filter(chosen).agg(total("marketRevenue").alias("totalRevenue"),
                                         F.sum("totalCompanies").alias("totalSales"))
     return long_form({"topProducts": (products, "productId"),
                       "salesByRegion": (top(regions, ["-totalSales", "region"]), "region"),
@@ -287,7 +287,7 @@ def region_share(region: DataFrame) -> DataFrame:
     The total is a scalar subquery over the grouped regions, not an unpartitioned window.
     """
     sums = region.groupBy("region").agg(F.sum("salesCount").alias("totalSales"),
-                                        add_up("revenue").alias("totalRevenue"))
+                                        total("revenue").alias("totalRevenue"))
     whole = sums.agg(F.sum("totalSales")).scalar()
     shown = sums.filter(F.col("region").isNotNull() & (F.col("region") != "") & (F.col("totalSales") > 0))
     return shown.select("region", "totalSales", F.round("totalRevenue", 0).alias("revenue"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions import texts
-from salesloom.functions.measures import add_up, gap, mean, ratio, total
+from salesloom.functions.measures import gap, mean, ratio, total
 from salesloom.functions.texts import say
 from salesloom.operators.filters import completed, has_employee, known
 
@@ -123,7 +123,7 @@ def region_gaps(sales: DataFrame) -> DataFrame:
     own = known(completed(sales), "region", "sector").groupBy("sector", "region").agg(
         total("totalAmount").alias("revenue"), F.count("*").alias("salesCount"),
         mean("totalAmount").alias("avgSaleAmount"), F.count_distinct("companyId").alias("companiesCount"))
-    sector = own.groupBy("sector").agg(add_up("revenue").alias("allRevenue"),
+    sector = own.groupBy("sector").agg(total("revenue").alias("allRevenue"),
                                        F.sum("salesCount").alias("allSales"),
                                        F.count("region").alias("allRegions"))
     others, sold = F.col("allRegions") - 1, F.col("allSales") - F.col("salesCount")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions import names, texts
-from salesloom.functions.measures import add_up, gap, percent, ratio
+from salesloom.functions.measures import percent, ratio, total
 from salesloom.functions.texts import listed, say
 from salesloom.operators.topk import top_per_group
 from salesloom.plans.problems import company_gaps, revenue_problem, revenue_severity
@@ -177,7 +177,7 @@ def root_cause_employee(base: DataFrame, employees: DataFrame, per_employee: Dat
                                       F.col("employeeName").alias("n")))
     rows = pairs.groupBy("companyId", "sector").agg(
         F.count_if(above).alias("employeesAboveMarket"), F.count("*").alias("totalEmployees"),
-        ratio(add_up("revenue"), F.count("*")).alias("companyAvgRevenuePerEmployee"),
+        ratio(total("revenue"), F.count("*")).alias("companyAvgRevenuePerEmployee"),
         F.max(average).alias("marketAvgRevenuePerEmployee"),
         F.transform(F.slice(F.sort_array(F.collect_list(leader)), 1, 2), lambda e: e["n"]).alias("leaders"),
         F.transform(F.slice(F.sort_array(F.collect_list(trailer)), 1, 2), lambda e: e["n"]).alias("trailers"))

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.functions.measures import MONEY, add_up, mean, ratio, total
+from salesloom.functions.measures import mean, ratio, total
 from salesloom.operators.filters import completed, has_employee, known, with_brand, with_sector
+from salesloom.operators.grouping import group_with_texts
 from salesloom.operators.joins import enrich_items, items_with_sale, name_employees, name_products
 from salesloom.operators.topk import top_per_group
 
@@ -29,7 +30,7 @@ def company_analytics(sales: DataFrame) -> DataFrame:
 def market_analytics(company: DataFrame) -> DataFrame:
     """One row per company and sector comes in, so the companies are counted, not collected."""
     sums = company.groupBy("sector").agg(
-        add_up("revenue").alias("marketRevenue"), F.sum("salesCount").alias("marketSalesCount"),
+        total("revenue").alias("marketRevenue"), F.sum("salesCount").alias("marketSalesCount"),
         F.count("companyId").alias("totalCompanies"))
     return sums.select("sector", "marketRevenue", "marketSalesCount",
                        ratio(F.col("marketRevenue"), F.col("marketSalesCount")).alias("marketAvgSale"),
@@ -51,18 +52,17 @@ def sales_by_region(sales: DataFrame) -> DataFrame:
 # Tables of products. Items carry companyId and sector, as the item messages do.
 def company_top_products(items: DataFrame, products: DataFrame | None) -> DataFrame:
     """Items of sales of any status."""
-    sold = known(items, "productId", "companyId", "sector").groupBy("companyId", "sector", "productId").agg(
-        total("subtotal").alias("totalRevenue"), F.sum("quantity").alias("totalQuantity"),
-        F.min("brand").alias("brand"))
+    sold = group_with_texts(
+        known(items, "productId", "companyId", "sector"), ["companyId", "sector", "productId"], ["brand"],
+        {"totalRevenue": total("subtotal"), "totalQuantity": F.sum("quantity")})
     sold = sold.withColumn("avgPrice", ratio(F.col("totalRevenue"), F.col("totalQuantity")))
     return name_products(sold, products).select(
         "companyId", "sector", "productId", "productName", "brand", "totalRevenue", "totalQuantity", "avgPrice")
 
 
 def market_top_products(company: DataFrame) -> DataFrame:
-    sums = company.groupBy("sector", "productId").agg(
-        F.min("productName").alias("productName"), F.min("brand").alias("brand"),
-        add_up("totalRevenue").alias("totalRevenue"), F.sum("totalQuantity").alias("totalQuantity"))
+    sums = group_with_texts(company, ["sector", "productId"], ["productName", "brand"], {
+        "totalRevenue": total("totalRevenue"), "totalQuantity": F.sum("totalQuantity")})
     return sums.withColumn("avgPrice", ratio(F.col("totalRevenue"), F.col("totalQuantity")))
 
 
@@ -80,10 +80,10 @@ def branded_items(items: DataFrame, sales: DataFrame, products: DataFrame | None
 def company_brands_all(branded: DataFrame) -> DataFrame:
     """Every brand of every company; avgPrice is the list price weighted by quantity."""
     priced = F.col("productPrice").isNotNull()
-    worth = (F.col("productPrice").cast("decimal(14,2)") * F.col("quantity")).cast(MONEY)
+    worth = total(F.col("productPrice") * F.col("quantity"))
     return branded.groupBy("companyId", "sector", "brand").agg(
         total("subtotal").alias("revenue"), F.sum("quantity").alias("quantity"),
-        F.try_divide(F.sum(worth).cast("double"), F.sum(F.when(priced, F.col("quantity")))).alias("avgPrice"))
+        F.try_divide(worth, F.sum(F.when(priced, F.col("quantity")))).alias("avgPrice"))
 
 
 def company_brands(brands: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def company_brands(brands: DataFrame) -> DataFrame:
 def market_top_brands(brands: DataFrame, branded: DataFrame | None = None) -> DataFrame:
     """Roll-up of all company brands; productCount needs the items, maxQuantity does not."""
     sums = brands.groupBy("sector", "brand").agg(
-        add_up("revenue").alias("totalRevenue"), F.max("quantity").alias("maxQuantity"))
+        total("revenue").alias("totalRevenue"), F.max("quantity").alias("maxQuantity"))
     if branded is None:
         return sums
     counts = branded.groupBy("sector", "brand").agg(F.count_distinct("productId").alias("productCount"))
@@ -104,9 +104,9 @@ def market_top_brands(brands: DataFrame, branded: DataFrame | None = None) -> Da
 # Tables of employees.
 def company_employees(sales: DataFrame, employees: DataFrame | None) -> DataFrame:
     done = known(has_employee(completed(sales)), "companyId")
-    sums = done.groupBy("companyId", "employeeId").agg(
-        F.min("sector").alias("sector"), total("totalAmount").alias("revenue"),
-        F.count("*").alias("salesCount"), mean("totalAmount").alias("avgSaleAmount"))
+    sums = group_with_texts(done, ["companyId", "employeeId"], ["sector"], {
+        "revenue": total("totalAmount"), "salesCount": F.count("*")})
+    sums = sums.withColumn("avgSaleAmount", ratio(F.col("revenue"), F.col("salesCount")))
     return name_employees(sums, employees).select(
         "companyId", "employeeId", "sector", "employeeName", "revenue", "salesCount", "avgSaleAmount")
 
@@ -114,7 +114,7 @@ def company_employees(sales: DataFrame, employees: DataFrame | None) -> DataFram
 def market_employee_performance(employees: DataFrame) -> DataFrame:
     """Distinct employees: the two-step count shuffles (sector, employee) pairs, never a whole sector."""
     sums = known(employees, "sector").groupBy("sector").agg(
-        F.sum("salesCount").alias("totalSales"), add_up("revenue").alias("revenue"),
+        F.sum("salesCount").alias("totalSales"), total("revenue").alias("revenue"),
         F.count_distinct("employeeId").alias("totalEmployees"))
     return sums.select("sector", ratio(F.col("revenue"), F.col("totalSales")).alias("avgSaleAmount"),
                        "totalSales", "totalEmployees")

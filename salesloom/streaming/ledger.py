@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.functions.measures import add_up
+from salesloom.functions.measures import total
 
 WINDOW = ["window_start", "window_end"]
 
@@ -80,7 +80,7 @@ def merge_additive(windows: DataFrame, keys: Sequence[str], sums: Sequence[str],
                    texts: Sequence[str] = ()) -> DataFrame:
     """Windows added up per key. Averages follow from the sums, so they are weighted by count."""
     kinds = dict(windows.dtypes)
-    added = [(add_up(c) if kinds[c] == "double" else F.sum(c)).alias(c) for c in sums]
+    added = [(total(c) if kinds[c] == "double" else F.sum(c)).alias(c) for c in sums]
     return windows.groupBy(*keys).agg(*added, *[F.min(c).alias(c) for c in texts])
 
 

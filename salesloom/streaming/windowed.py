@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.functions.measures import MONEY, mean, total
+from salesloom.functions.measures import mean, total
 from salesloom.operators.filters import completed, has_employee, known, with_brand, with_sector
+from salesloom.operators.grouping import group_with_texts
 from salesloom.operators.joins import enrich_items, enrich_sales, name_products
 
 # Default windows and delays.
@@ -39,9 +40,12 @@ def _sale_sums() -> list[Column]:
             mean("totalAmount").alias("avgSaleAmount")]
 
 
-def _product_sums() -> list[Column]:
-    return [total("subtotal").alias("totalRevenue"), F.sum("quantity").alias("totalQuantity"),
-            F.min("brand").alias("brand"), F.avg("price").alias("avgPrice")]
+def _product_windows(items: DataFrame, keys: Sequence[str], window: str, watermark: str) -> DataFrame:
+    timed = _timed(items, watermark).withColumn("w", F.window("saleTime", window))
+    sums = group_with_texts(timed, ["w", *keys], ["brand"], {
+        "totalRevenue": total("subtotal"), "totalQuantity": F.sum("quantity"),
+        "priceSum": F.sum("price"), "lines": F.count("price")})
+    return _flat(sums.withColumn("avgPrice", F.try_divide("priceSum", "lines")).drop("priceSum", "lines"))
 
 
 def sector_windows(sales: DataFrame, window: str = HALF_MINUTE, watermark: str = MINUTE) -> DataFrame:
@@ -65,10 +69,10 @@ def market_windows(sales: DataFrame, window: str = MINUTE, watermark: str = MINU
     """
     slot = F.window("saleTime", window).alias("w")
     per_company = _timed(completed(sales), watermark).groupBy(slot, "sector", "companyId").agg(
-        F.sum(F.col("totalAmount").cast(MONEY)).alias("money"), F.count("*").alias("n"))
+        total("totalAmount").alias("money"), F.count("*").alias("n"))
     sums = per_company.groupBy("w", "sector").agg(
-        F.sum("money").cast("double").alias("marketRevenue"), F.sum("n").alias("marketSalesCount"),
-        F.try_divide(F.sum("money").cast("double"), F.sum("n")).alias("marketAvgSale"),
+        total("money").alias("marketRevenue"), F.sum("n").alias("marketSalesCount"),
+        F.try_divide(total("money"), F.sum("n")).alias("marketAvgSale"),
         F.count("companyId").alias("totalCompanies"))
     return _flat(sums)
 
@@ -83,7 +87,7 @@ def market_product_windows(items: DataFrame, products: DataFrame | None, window:
                            watermark: str = TWO_MINUTES) -> DataFrame:
     """Items of sales of any status."""
     sold = known(with_sector(items), "productId")
-    return name_products(_windows(sold, ["productId", "sector"], _product_sums(), window, watermark), products)
+    return name_products(_product_windows(sold, ["productId", "sector"], window, watermark), products)
 
 
 def company_product_windows(items: DataFrame, products: DataFrame | None, window: str = MINUTE,
@@ -91,7 +95,7 @@ def company_product_windows(items: DataFrame, products: DataFrame | None, window
     """Items of sales of any status."""
     sold = known(items, "productId", "companyId", "sector")
     keys = ["productId", "companyId", "sector"]
-    return name_products(_windows(sold, keys, _product_sums(), window, watermark), products)
+    return name_products(_product_windows(sold, keys, window, watermark), products)
 
 
 def market_brand_windows(items: DataFrame, products: DataFrame | None, window: str = MINUTE,
@@ -135,10 +139,10 @@ def join_items_sales(items: DataFrame, sales: DataFrame, bound: str = TWO_MINUTE
 def company_brand_windows(items: DataFrame, sales: DataFrame, products: DataFrame | None, window: str = MINUTE,
                           watermark: str = TWO_MINUTES, bound: str = TWO_MINUTES) -> DataFrame:
     joined = known(with_brand(enrich_items(join_items_sales(items, sales, bound, watermark), products)), "companyId")
-    worth = (F.col("productPrice").cast("decimal(14,2)") * F.col("quantity")).cast(MONEY)
+    worth = total(F.col("productPrice") * F.col("quantity"))
     sums = [total("subtotal").alias("revenue"), F.sum("quantity").alias("quantity"),
             F.min("productName").alias("productName"), F.avg("productPrice").alias("avgPrice"),
-            F.coalesce(F.sum(worth).cast("double"), F.lit(0.0)).alias("listWorth"),
+            F.coalesce(worth, F.lit(0.0)).alias("listWorth"),
             F.coalesce(F.sum(F.when(F.col("productPrice").isNotNull(), F.col("quantity"))), F.lit(0))
             .alias("pricedQuantity")]
     slot = F.window("saleTime", window).alias("w")
