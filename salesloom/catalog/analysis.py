@@ -82,7 +82,7 @@ SELECT companyId, sector, CAST(rank AS INT) AS rank, productName, marketRevenue,
        six(companyRevenue / companyTotal * 100) AS companyPercentage
 FROM every WHERE rank <= 10""")
 def _(b):
-    company = t.company_top_products(b.placed_items, b.products)
+    company = staged(t.company_top_products(b.placed_items, b.products), "products")
     return c.compare_products(company, t.market_top_products(company))
 
 

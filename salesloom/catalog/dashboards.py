@@ -111,7 +111,7 @@ def _(b): return d.products_by_brand(b.items, b.sales)
 
 
 @query("a13_brands_table_company", """
-SELECT companyId, sector, brand, revenue, quantity, six(avgPrice) AS avgPrice, rank FROM t_brands""")
+SELECT companyId, sector, brand, revenue, quantity, six(avgPrice) AS avgPrice, CAST(rank AS INT) AS rank FROM t_brands""")
 def _(b):
     return d.brands_table(t.company_brands(t.company_brands_all(t.branded_items(b.placed_items, b.sales, b.products))))
 

@@ -67,17 +67,22 @@ def items_of_matching_sales(items: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows whose parent does not exist."""
-    return child.join(parent.select(key), key, "left_anti")
+    """Child rows whose parent does not exist.
+
+    The parent keys are made distinct first, in the partitioning the join needs anyway.
+    """
+    return child.join(parent.select(key).distinct(), key, "left_anti")
 
 
 def sales_with_items(sales: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Sale header repeated on each of its lines, with product columns; a sale without lines stays once.
 
-    Lines stay rows: an array per sale would gather a hot sale in one task.
+    Lines stay rows: an array per sale would gather a hot sale in one task. An outer join cannot split
+    the lines of a hot sale either, so it is written as an inner join and the sales without lines.
     """
     lines = lookup(items.drop("brand"), products, "productId", ["productName", "brand"])
-    return sales.join(lines.withColumnRenamed("brand", "productBrand"), "saleId", "left")
+    matched = sales.join(lines.withColumnRenamed("brand", "productBrand"), "saleId")
+    return matched.unionByName(orphans(sales, items, "saleId"), allowMissingColumns=True)
 
 
 def name_employees(df: DataFrame, employees: DataFrame | None, *stored: str) -> DataFrame:

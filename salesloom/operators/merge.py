@@ -19,7 +19,8 @@ def merge_keyed(base: DataFrame, changes: DataFrame, id_column: str, keys: Seque
 
     A change finds its row by the first key; the second key is tried only when the change lacks the
     first; without both it creates a row. Fields that are set overwrite, in the order of ``seq``.
-    A second key is looked up in the table and among the rows these changes create or rename.
+    A second key is looked up in the table and among the rows these changes create or rename. Where a
+    key is not unique in the table, the row with the least id is meant.
 
     Changes are collapsed per key before any join (the newest set value of every field, which
     combines in the map tasks), so a hot key is one row when it meets the table.
@@ -37,7 +38,8 @@ def merge_keyed(base: DataFrame, changes: DataFrame, id_column: str, keys: Seque
     ids = base.select(F.col(id_column).cast("string").alias("known"), *keys)
     key1 = f"key_{first}"
     by_first = collapsed(stamped.filter(F.col(key1).isNotNull()), key1)
-    known1 = ids.filter(F.col(first).isNotNull()).select(F.col(first).alias(key1), "known")
+    known1 = ids.filter(F.col(first).isNotNull()).groupBy(F.col(first).alias(key1)).agg(
+        F.min("known").alias("known"))
     parts = [by_first.join(known1, key1, "left").select(
         F.coalesce("known", _made_id(first, F.col(key1))).alias("entity"), *fields)]
     rest = stamped.filter(F.col(key1).isNull())

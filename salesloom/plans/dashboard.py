@@ -205,14 +205,29 @@ def employees_table(table: DataFrame, company_id: str | None = None, k: int = 10
 # Whole dashboards.
 def dashboard(sales: DataFrame, items: DataFrame, products: DataFrame, employees: DataFrame,
               f: Filters = ALL) -> dict[str, DataFrame]:
-    """The parts of the main dashboard; each part is its own small result."""
+    """The parts of the main dashboard; each part is its own small result.
+
+    All parts about sales are roll-ups of one grouping, so the sales are read once for them.
+    """
+    cells = apply_filters(sales, f).groupBy("region", "companyId", "employeeId").agg(
+        total("totalAmount").alias("totalRevenue"), F.count("*").alias("totalSales"),
+        F.max("totalAmount").cast("double").alias("maxSaleAmount"))
+
+    def rolled(*keys: str) -> DataFrame:
+        sums = cells.groupBy(*keys).agg(
+            or_zero(total("totalRevenue")).alias("totalRevenue"), or_zero(F.sum("totalSales")).alias("totalSales"),
+            F.max("maxSaleAmount").alias("maxSaleAmount"))
+        return sums.withColumn("avgSaleAmount", ratio(F.col("totalRevenue"), F.col("totalSales")))
+
+    people = has_employee(rolled("employeeId"))
+    own = employees if f.companyId is None else equal_to(employees, companyId=f.companyId)
+    named = lookup(people, own, "employeeId", ["employeeName", "position"], "left" if f.companyId is None else "inner")
     return {
-        "summary": sales_summary(sales, f),
-        "salesByRegion": sales_by_region(sales, f).limit(10),
-        "salesByCompany": top(apply_filters(sales, f).groupBy("companyId").agg(*sales_measures()),
-                              ["-totalRevenue", "companyId"], 10),
+        "summary": rolled().drop("maxSaleAmount"),
+        "salesByRegion": top(rolled("region").drop("maxSaleAmount"), ["-totalRevenue", "region"], 10),
+        "salesByCompany": top(rolled("companyId").drop("maxSaleAmount"), ["-totalRevenue", "companyId"], 10),
         "topProducts": top_products(items, sales, products, f, 10),
-        "employeePerformance": employee_performance(sales, employees, f, 10),
+        "employeePerformance": top(_named(named), ["-totalRevenue", "employeeId"], 10),
     }
 
 
