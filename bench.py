@@ -30,7 +30,8 @@ HEADLINE = [
 
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", **{
-        "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", "spark.driver.memory": "16g"})
+        "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", "spark.driver.memory": "16g",
+        "spark.python.sql.dataFrameDebugging.enabled": "false", "spark.sql.dataFrameQueryContext.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     small = re.sub(r"sf[\d.]+", "sf0.001", FOLDER)
     if os.path.isdir(small):  # compile and warm up on other, tiny data

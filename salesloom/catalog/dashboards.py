@@ -31,8 +31,9 @@ def _(b): return d.sales_by_type(b.sales)
 
 
 @query("a04_summary_from_tables", f"""
-SELECT CAST(sum(CAST(revenue AS DECIMAL(28,4))) AS DOUBLE) AS totalRevenue, CAST(sum(salesCount) AS BIGINT) AS totalSales,
-       six(CAST(sum(CAST(revenue AS DECIMAL(28,4))) AS DOUBLE) / sum(salesCount)) AS averageSaleAmount FROM t_company WHERE companyId = '{COMPANY}'""")
+SELECT CAST(coalesce(sum(CAST(revenue AS DECIMAL(28,4))), 0) AS DOUBLE) AS totalRevenue,
+       CAST(coalesce(sum(salesCount), 0) AS BIGINT) AS totalSales,
+       coalesce(six(CAST(sum(CAST(revenue AS DECIMAL(28,4))) AS DOUBLE) / sum(salesCount)), 0) AS averageSaleAmount FROM t_company WHERE companyId = '{COMPANY}'""")
 def _(b):
     company = t.company_analytics(b.sales)
     return d.summary_from_tables(company, t.market_analytics(company), Filters(companyId=COMPANY))
@@ -184,8 +185,8 @@ def _(b): return d.dashboard_table(b.sales, b.items, b.products, b.employees)
 
 
 @query("a19_company_overview", f"""
-SELECT 'summary' AS section, NULL AS key, sum(revenue) AS totalRevenue, CAST(sum(salesCount) AS DOUBLE) AS totalSales,
-       CAST(NULL AS DOUBLE) AS totalQuantity FROM t_company WHERE companyId = '{COMPANY}' AND sector = '{SECTOR}'
+SELECT 'summary' AS section, NULL AS key, coalesce(sum(revenue), 0) AS totalRevenue,
+       CAST(coalesce(sum(salesCount), 0) AS DOUBLE) AS totalSales, CAST(NULL AS DOUBLE) AS totalQuantity FROM t_company WHERE companyId = '{COMPANY}' AND sector = '{SECTOR}'
 UNION ALL SELECT 'sectorRegions', region, revenue, salesCount, NULL FROM t_region WHERE sector = '{SECTOR}'""")
 def _(b):
     company = t.company_analytics(b.sales)
@@ -213,8 +214,9 @@ def _(b): return d.sector_companies(b.sales)
 def _(b): return d.sector_regions(b.sales)
 
 
-@query("a23_company_in_sector",
-       f"SELECT {KPI} FROM v_sales WHERE companyId = '{COMPANY}' AND sector = '{SECTOR}'")
+@query("a23_company_in_sector", f"""
+SELECT coalesce(totalRevenue, 0) AS totalRevenue, totalSales, coalesce(avgSaleAmount, 0) AS avgSaleAmount
+FROM (SELECT {KPI} FROM v_sales WHERE companyId = '{COMPANY}' AND sector = '{SECTOR}')""")
 def _(b): return d.company_in_sector(b.sales, COMPANY, SECTOR)
 
 

@@ -30,10 +30,22 @@ def expand_six(sql: str) -> str:
     return sql
 
 
+_tables: dict[tuple[str, str], Tables] = {}
+
+
+def tables_of(spark: SparkSession, folder: str) -> Tables:
+    """Inputs of a folder, built once per application: footers are read once, plans stay lazy."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _tables:
+        _tables[key] = Tables(spark, folder)
+    return _tables[key]
+
+
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[Tables], DataFrame]):
         assert name not in QUERIES, name
-        QUERIES[name] = lambda spark, folder: rounded(build(Tables(spark, folder)))
+        QUERIES[name] = lambda spark, folder: rounded(build(tables_of(spark, folder)))
         if sql is not None:
             SQL[name] = expand_six(with_views(sql))
         return build
