@@ -77,25 +77,28 @@ def market_trend(sales: DataFrame, period: str = "daily", f: Filters = ALL) -> D
 def compare_products(company_products: DataFrame, market_products: DataFrame, k: int = 10) -> DataFrame:
     """Products of each company next to those of its market, by name (else id), first k by market revenue.
 
-    Only the first k market products can end up among the first k rows, so each company meets k
-    market rows; its own products join them in full, with 0 where one side has none.
+    Each company meets the first k products of its market, with 0 where it does not sell one. Its own
+    further products can only be shown in a market with fewer than k, and only there they are ranked.
     """
     name = F.coalesce("productName", F.col("productId").cast("string")).alias("productName")
-    own = company_products.select("companyId", "sector", name, F.col("totalRevenue").alias("revenue")) \
-        .groupBy("companyId", "sector", "productName").agg(total("revenue").alias("companyRevenue"))
-    own_total = own.groupBy("companyId", "sector").agg(total("companyRevenue").alias("companyTotal"))
+    pair, product = ["companyId", "sector"], ["companyId", "sector", "productName"]
+    own = company_products.select(*pair, name, F.col("totalRevenue").alias("revenue"))
+    own_total = own.groupBy(*pair).agg(total("revenue").alias("companyTotal"))
     market = market_products.select("sector", name, F.col("totalRevenue").alias("revenue")) \
         .groupBy("sector", "productName").agg(total("revenue").alias("marketRevenue"))
     market_total = market.groupBy("sector").agg(total("marketRevenue").alias("marketTotal"))
     leaders = top_per_group(market, ["sector"], ["-marketRevenue", "productName"], k).drop("rank")
-
-    pairs = own_total.select("companyId", "sector").join(leaders, "sector")
-    merged = (own.join(pairs, ["companyId", "sector", "productName"], "full")
-              .withColumn("companyRevenue", F.coalesce("companyRevenue", F.lit(0.0)))
-              .withColumn("marketRevenue", F.coalesce("marketRevenue", F.lit(0.0))))
-    first = top_per_group(merged, ["companyId", "sector"], ["-marketRevenue", "-companyRevenue", "productName"], k)
-    return (first.join(own_total, ["companyId", "sector"]).join(market_total, "sector")
-            .select("companyId", "sector", "rank", "productName", "marketRevenue",
-                    percent(F.col("marketRevenue"), F.col("marketTotal")).alias("marketPercentage"),
-                    "companyRevenue",
-                    percent(F.col("companyRevenue"), F.col("companyTotal")).alias("companyPercentage")))
+    leading = leaders.select("sector", "productName")
+
+    sold = own.join(leading, ["sector", "productName"]).groupBy(*product).agg(total("revenue").alias("companyRevenue"))
+    listed = own_total.join(leaders, "sector").join(sold, product, "left").fillna({"companyRevenue": 0.0})
+    short = leaders.groupBy("sector").count().filter(F.col("count") < k)
+    further = (own.join(short, "sector", "left_semi").join(leading, ["sector", "productName"], "left_anti")
+               .groupBy(*product).agg(total("revenue").alias("companyRevenue"))
+               .withColumn("marketRevenue", F.lit(0.0)).join(own_total, pair))
+    rows = top_per_group(listed.unionByName(further), pair,
+                         ["-marketRevenue", "-companyRevenue", "productName"], k)
+    return rows.join(market_total, "sector").select(
+        *pair, "rank", "productName", "marketRevenue",
+        percent(F.col("marketRevenue"), F.col("marketTotal")).alias("marketPercentage"), "companyRevenue",
+        percent(F.col("companyRevenue"), F.col("companyTotal")).alias("companyPercentage"))

@@ -244,3 +244,30 @@ def test_market_is_sum_of_companies_and_shares_add_up(spark):
     own = tables.company_analytics(facts)
     assert tables.market_analytics(own).first().marketRevenue == sum(r.revenue for r in own.collect())
     assert abs(sum(r.marketShare for r in compare.compare_vs_market(facts).collect()) - 100) < 0.1
+
+
+def test_product_comparison_with_a_short_market(spark):
+    """A market list shorter than k leaves room for the company's own further products."""
+    kinds = "companyId string, sector string, productId string, productName string, totalRevenue double"
+    own = spark.createDataFrame([("c", "s", "1", "a", 30.0), ("c", "s", "2", None, 60.0), ("d", "s", "9", "z", 10.0)], kinds)
+    whole = spark.createDataFrame([("s", "1", "a", 100.0), ("s", "3", "b", 300.0)], kinds.replace("companyId string, ", ""))
+    rows = {(r.companyId, r.rank): (r.productName, r.marketPercentage, r.companyRevenue)
+            for r in compare.compare_products(own, whole, 3).collect()}
+    assert rows == {("c", 1): ("b", 75.0, 0.0), ("c", 2): ("a", 25.0, 30.0), ("c", 3): ("2", 0.0, 60.0),
+                    ("d", 1): ("b", 75.0, 0.0), ("d", 2): ("a", 25.0, 0.0), ("d", 3): ("z", 0.0, 10.0)}
+    assert compare.compare_products(own, whole, 1).count() == 2
+
+
+def test_hot_key(spark):
+    """A third of all rows under one sale, product and company."""
+    hot = F.col("id") % 3 == 0
+    items = spark.range(3000).select(
+        F.when(hot, 0).otherwise(F.col("id")).alias("saleId"), F.when(hot, "p").otherwise(F.concat(F.lit("p"), "id")).alias("productId"),
+        F.when(hot, "big").otherwise("small").alias("companyId"), F.lit("s").alias("sector"), F.lit(1).alias("quantity"),
+        F.lit(2.5).alias("price"), F.lit(2.5).alias("subtotal"), F.lit("b").alias("brand"))
+    sold = tables.company_top_products(items, None)
+    assert sold.filter("companyId = 'big'").collect()[0].totalRevenue == 2500.0 and sold.count() == 2001
+    heads = items.select("saleId").distinct()
+    products = spark.createDataFrame([("p", "Pen", "b")], "productId string, productName string, brand string")
+    assert sales_with_items(heads, items.drop("companyId", "sector"), products).count() == 3000
+    assert ingest.recompute_totals(heads, items).filter("saleId = 0").first().totalAmount == 2500.0
