@@ -83,7 +83,7 @@ SELECT companyId, sector, CAST(rank AS INT) AS rank, productName, marketRevenue,
 FROM every WHERE rank <= 10""")
 def _(b):
     company = staged(t.company_top_products(b.placed_items, b.products), "products")
-    return c.compare_products(company, t.market_top_products(company))
+    return c.compare_products(company, staged(t.market_top_products(company), "market"))
 
 
 @query("p01_company_gaps", """
