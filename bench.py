@@ -11,7 +11,7 @@ from salesloom.session import build_session
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
 HEADLINE = [
-    "a09_top_products",            # top products, the pipeline the reference switched off as too slow
+    "a09_top_products",            # top products of the whole market
     "ru4_company_top_products",    # the same for all companies at once
     "rc01_brand_shares",           # brand shares of all companies
     "c01_compare_vs_market",       # every company against its market
