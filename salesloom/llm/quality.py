@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 
 # Characters that may end a line, wording of navigation and boilerplate lines.
 LINE_ENDS = ".!?:;\"')]}…”’»。！？"
@@ -27,6 +27,8 @@ NAVIGATION = ["back to top", "skip to content", "previous page", "next page", "r
 BOILERPLATE = ["lorem ipsum", "javascript", "cookie policy", "privacy policy", "terms of use", "terms of service",
                "use cookies", "subscribe to our"]
 
+ENDED = "[" + "".join("\\" + c if c in "]}" else c for c in LINE_ENDS) + r"][\x20\x09-\x0D]*$"
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -40,33 +42,51 @@ class Rules:
     lost_share: int = 50         # of the characters in words, at most
 
 
-def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def count(text: Column, characters: str) -> Column:
+    return F.regexp_count(text, F.lit(characters))
 
 
-def line_fails(line: Column, rules: Rules = Rules()) -> Column:
-    """Whether a line with words breaks a rule; lines without words never do."""
-    words = F.regexp_count(line, F.lit(WORD))
-    symbols = F.length(line) - F.length(without(line, SYMBOLS))
-    marks = F.length(line) - F.length(without(line, "!"))
-    low = F.lower(line)
-    says = lambda phrases: F.greatest(*[F.contains(low, F.lit(p)) for p in phrases])
-    ends = F.instr(F.lit(LINE_ENDS), F.right(F.rtrim(F.translate(line, SPACE, " " * len(SPACE))), F.lit(1))) > 0
-    return (words > 0) & (~ends | (symbols * 100 > words * rules.symbol_share)
-                          | (marks * 100 > words * rules.exclaimed_share) | says(BOILERPLATE)
-                          | (says(NAVIGATION) & (words <= rules.navigation_words)))
+def word_characters(text: Column) -> Column:
+    return F.length(text) - count(text, r"[\x20\x09-\x0D]")
 
 
-def repeated_words(hashes: Column) -> Column:
-    """Words inside five-word windows that occur twice or more, from the hashes of the words.
+def line_fails(line: Column, rules: Rules = Rules()) -> Column:
+    """Whether a line with words breaks a rule; lines without words never do.
 
-    Windows are sorted by their 64-bit hash; equal neighbours are repeats. The words covered follow from the sorted
-    starts: each start adds five words, or as many as lie before the next start.
+    Cheap tests stand first: words are counted only in lines that hold symbols, marks or navigation wording.
     """
+    words = count(line, WORD)
+    marks = F.length(line) - F.length(F.replace(line, F.lit("!"), F.lit("")))
+    ends = (F.instr(F.lit(LINE_ENDS), F.right(line, F.lit(1))) > 0) | F.rlike(line, F.lit(ENDED))
+    return F.rlike(line, F.lit(WORD)) & (
+        ~ends | (F.rlike(line, F.lit(SYMBOLS)) & (count(line, SYMBOLS) * 100 > words * rules.symbol_share))
+        | (F.contains(line, F.lit("!")) & (marks * 100 > words * rules.exclaimed_share))
+        | bound(F.lower(line), lambda low: says(low, BOILERPLATE) | (
+            says(low, NAVIGATION) & (words <= rules.navigation_words))))
+
+
+def says(text: Column, phrases: list[str]) -> Column:
+    return reduce(Column.__or__, [F.contains(text, F.lit(p)) for p in phrases])
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once for each row."""
+    return F.transform(F.array(value), use)[0]
+
+
+def windows(hashes: Column) -> Column:
+    """64-bit hashes of all five-word windows, in order."""
     last = F.size(hashes) - 5
-    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-        F.xxhash64(*[F.get(hashes, i + k) for k in range(5)]).alias("h"), i.alias("i")))
+    return F.when(last < 1, F.lit(None)).otherwise(F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(5)])))
+
 
+def repeated_words(hashes: Column) -> Column:
+    """Words inside windows that occur twice or more.
+
+    Windows are sorted by hash, where any hash repeats; equal neighbours are repeats. The words covered follow from
+    the sorted starts: each start adds five words, or as many as lie before the next start.
+    """
     def starts(ordered: Column) -> Column:
         same = lambda x, at: F.coalesce(F.get(ordered, at)["h"] == x["h"], F.lit(False))
         repeats = F.filter(ordered, lambda x, k: same(x, k - 1) | same(x, k + 1))
@@ -76,13 +96,9 @@ def repeated_words(hashes: Column) -> Column:
         each = F.transform(begun, lambda i, k: F.least(F.lit(5), F.coalesce(F.get(begun, k + 1) - i, F.lit(5))))
         return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
-    return F.when(last < 1, F.lit(0)).otherwise(
-        bound(bound(F.array_sort(windows), starts), covered)).cast("long")
-
-
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once for each row."""
-    return F.transform(F.array(value), use)[0]
+    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    return F.when(F.coalesce(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(True)), F.lit(0)).otherwise(
+        bound(bound(F.array_sort(placed), starts), covered)).cast("long")
 
 
 def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -97,22 +113,22 @@ def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_failed_lines", "lost_chars",
              "base_failed", "kept", "clean_text"]
-    has_word = lambda line: F.length(without(line, SPACE)) > 0
     chars = lambda lines: F.aggregate(
-        F.transform(lines, lambda line: F.length(without(line, SPACE))), F.lit(0), lambda a, x: a + x)
+        F.transform(lines, word_characters), F.lit(0), lambda a, x: a + x)
     out = docs.drop(*added).select(
         "*",
-        F.filter(F.split(text, WORD_BREAKS), lambda w: w != "").alias("__words"),
+        F.array_remove(F.split(text, WORD_BREAKS), "").alias("__words"),
         F.split(text, "\n", -1).alias("__lines"),
-        F.length(without(text, SPACE)).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"))
+        word_characters(text).cast("long").alias("word_chars"),
+        count(text, SYMBOLS).cast("long").alias("n_symbols"))
     out = out.select("*", F.transform("__words", lambda w: F.xxhash64(w)).alias("__hashes"),
-                     F.filter("__lines", has_word).alias("__spoken"),
+                     F.filter("__lines", lambda line: F.rlike(line, F.lit(WORD))).alias("__spoken"),
                      F.filter("__lines", lambda line: ~line_fails(line, rules)).alias("__good"))
+    out = out.select("*", windows(F.col("__hashes")).alias("__windows"))
     out = out.select(
         "*", F.size("__words").cast("long").alias("n_words"),
         (F.size("__spoken") - F.size(F.array_distinct("__spoken"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("__hashes")).alias("n_repeat_words"),
+        repeated_words(F.col("__windows")).alias("n_repeat_words"),
         (F.size("__lines") - F.size("__good")).cast("long").alias("n_failed_lines"),
         (F.col("word_chars") - chars(F.col("__good"))).cast("long").alias("lost_chars"),
         F.array_join("__good", "\n").alias("clean_text"))
@@ -120,7 +136,7 @@ def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         F.col("n_repeat_words") * 100 > F.col("n_words") * rules.repeated_share))
     out = out.withColumn("kept", ~F.col("base_failed") & (
         F.col("lost_chars") * 100 <= F.col("word_chars") * rules.lost_share))
-    return out.drop("__words", "__lines", "__hashes", "__spoken", "__good")
+    return out.drop("__words", "__lines", "__hashes", "__spoken", "__good", "__windows")
 
 
 def clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
