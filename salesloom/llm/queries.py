@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import quality
+from salesloom.llm import quality, rans
 from salesloom.llm.store import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer_file() -> str:
+    """Place of the public tokenizer that the queries use; the operators take it as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,3 +39,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality.assess(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                                        "n_repeat_words", "base_failed", "kept")
+
+
+@query("op6_rans_tokens")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    back = rans.round_trip(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_file())
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
