@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import packing, quality, rans
-from salesloom.llm.store import ship, table
+from salesloom.llm import packing, quality, rans, warc
+from salesloom.llm.store import ship, table, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,3 +50,21 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_best_fit_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_file())
+
+
+@query("op2_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+t AS (SELECT html, max(page_id) AS top FROM p WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < top THEN top END AS refers_to
+FROM p LEFT JOIN t USING (html)""")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    archives = work_folder(spark, "warc")
+    found = warc.read(spark, warc.write(table(spark, folder, "pages"), archives), archives)
+    response = F.col("record_type") == "response"
+    return found.select(
+        "page_id", F.when(response, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("long")
+        .alias("payload_bytes"),
+        F.when(response, F.sha1("payload")).otherwise(F.col("digest")).alias("payload_digest"),
+        "record_type", "refers_to")
