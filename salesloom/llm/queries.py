@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import packing, quality, rans, warc
+from salesloom.llm import packing, prefix_hash, quality, rans, warc
 from salesloom.llm.store import ship, table, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         .alias("payload_bytes"),
         F.when(response, F.sha1("payload")).otherwise(F.col("digest")).alias("payload_digest"),
         "record_type", "refers_to")
+
+
+@query("op7_prefix_fingerprints")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_hash.fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
