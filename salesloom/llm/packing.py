@@ -156,15 +156,15 @@ PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _cut(tokenizer: str, end_id: int, capacity: int):
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             keys = batch.column(0).to_pylist()
-            for key, ids in zip(keys, encoded((t.as_py() for t in batch.column(1)), tokenizer)):
-                ids += end
-                n = len(ids) // 4
+            for key, ids in zip(keys, encoded(batch.column(1), tokenizer)):
+                n = len(ids) + 1
+                ids = np.concatenate([ids, end]).astype("<u4").tobytes()
                 first = n % capacity or capacity
                 for piece, stop in enumerate(range(first, n + 1, capacity)):
                     start = max(0, stop - capacity) if piece else 0

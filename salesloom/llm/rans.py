@@ -28,7 +28,8 @@ from salesloom.llm.tokens import encoded
 SCALE = 20                    # frequencies add up to 2 ** SCALE
 LOW = np.uint64(1 << 31)      # states stay in [LOW, LOW << 32); 32-bit words move in and out
 STATES = 4096                 # interleaved states of a full block
-BLOCK_TOKENS = 1 << 18        # a block ends with the document that reaches this size
+BLOCK_TOKENS = 1 << 19        # a block ends with the document that reaches this size
+BLOCKS_A_TASK = 8             # read by a task, one after the other
 HEAD, INDEX_ROW, TAIL = "<4sIQII", "<QQQQQ", "<II4s"
 MAGIC = b"rANS"
 
@@ -136,19 +137,20 @@ NULL_ID = -(1 << 63)
 
 # ---------------------------------------------------------------- Spark
 
-def _raw_blocks(docs: Iterator[tuple[int | None, bytes]], end_id: int) -> Iterator[tuple[list, list, np.ndarray]]:
+def _raw_blocks(docs: Iterator[tuple[int | None, np.ndarray]], end_id: int,
+                ) -> Iterator[tuple[list, list, np.ndarray]]:
     keys, lengths, parts, size = [], [], [], 0
-    end = pack("<I", end_id)
+    end = np.array([end_id], np.uint32)
     for key, ids in docs:
         keys.append(key)
-        lengths.append(len(ids) // 4 + 1)
-        parts.append(ids + end)
+        lengths.append(len(ids) + 1)
+        parts += [ids, end]
         size += lengths[-1]
         if size >= BLOCK_TOKENS:
-            yield keys, lengths, np.frombuffer(b"".join(parts), "<u4")
+            yield keys, lengths, np.concatenate(parts)
             keys, lengths, parts, size = [], [], [], 0
     if keys:
-        yield keys, lengths, np.frombuffer(b"".join(parts), "<u4")
+        yield keys, lengths, np.concatenate(parts)
 
 
 def _write_raw(folder: str, tokenizer: str, end_id: int):
@@ -157,7 +159,7 @@ def _write_raw(folder: str, tokenizer: str, end_id: int):
         def documents():
             for batch in batches:
                 keys = batch.column(0).to_pylist()
-                yield from zip(keys, encoded((t.as_py() for t in batch.column(1)), tokenizer))
+                yield from zip(keys, encoded(batch.column(1), tokenizer))
 
         part = TaskContext.get().partitionId()
         fs, root = filesystem(folder)
@@ -169,7 +171,7 @@ def _write_raw(folder: str, tokenizer: str, end_id: int):
             found[:len(counts)] += counts
             counts = found
             n_docs, n_tokens = n_docs + len(keys), n_tokens + len(ids)
-            plain = ids.astype("<u2") if ids.max() < 1 << 16 else ids
+            plain = ids.astype("<u2" if ids.max() < 1 << 16 else "<u4")
             squeezed = pa.compress(plain.tobytes(), codec="zstd", asbytes=True)
             out.write(pack("<IIII", len(keys), len(ids), plain.itemsize, len(squeezed)))
             out.write(np.array([NULL_ID if k is None else k for k in keys], "<i8").tobytes())
@@ -321,7 +323,7 @@ def read(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame:
     Blocks are decoded in parallel, each from its checkpoint; a damaged block, index or table raises an error.
     """
     found = staged(blocks(spark, files, folder), "rans-blocks")
-    return found.repartition(max(1, min(found.count(), 100_000))).mapInArrow(
+    return found.repartition(max(1, -(-found.count() // BLOCKS_A_TASK))).mapInArrow(
         _decode(folder), "doc_id long, start long, n_tokens long, ids binary")
 
 
