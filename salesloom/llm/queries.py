@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import packing, prefix_hash, quality, rans, warc
+from salesloom.llm import near_dup, packing, prefix_hash, quality, rans, warc
 from salesloom.llm.store import ship, table, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,22 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_prefix_fingerprints")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_hash.fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op4_minhash_near_dedup", """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) = 1 THEN ws[1] ELSE ws[i] || ' ' || ws[i + 1] END AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws)))) AS i FROM w WHERE len(ws) > 0)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id
+  GROUP BY 1, 2),
+e AS (SELECT a, b FROM b JOIN c p ON p.doc_id = a JOIN c q ON q.doc_id = b
+  WHERE 100 * common >= 80 * (p.n + q.n - common)),
+r AS (SELECT doc_id, doc_id AS seen FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.seen),
+m AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d JOIN m USING (doc_id) LEFT JOIN c USING (doc_id)""")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
