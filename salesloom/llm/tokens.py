@@ -28,8 +28,9 @@ LEADS = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])                  # of
 # UTF-8 of white space beyond ASCII, as leading bytes and last bytes.
 WIDE_SPACE = {(0xC2, None): [0x85, 0xA0], (0xE1, 0x9A): [0x80], (0xE1, 0xA0): [0x8E],
               (0xE2, 0x80): [*range(0x80, 0x8C), 0xA8, 0xA9, 0xAF], (0xE2, 0x81): [0x9F], (0xE3, 0x80): [0x80]}
-SLOTS = 1 << 21        # of the cache
-MOST_IDS = 1 << 24     # kept; the cache starts anew beyond
+SLOTS = 1 << 20        # of the cache
+AT_ONCE = 1000         # pieces given to the tokenizer
+MOST_IDS = 1 << 23     # kept; the cache starts anew beyond
 LONGEST = 64           # bytes of a piece that is kept
 
 
@@ -51,7 +52,10 @@ class Encoder:
 
     def _fresh(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts one after the other, and how many each has."""
-        found = [e.ids for e in self.model.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        found = []
+        for i in range(0, len(texts), AT_ONCE):  # the tokenizer's own records are much larger than the ids
+            batch = self.model.encode_batch_fast([t.decode() for t in texts[i:i + AT_ONCE]], add_special_tokens=False)
+            found += [e.ids for e in batch]
         counts = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
 
@@ -102,7 +106,7 @@ class Encoder:
         check = segment_hashes(values, starts, 2).astype(np.uint32)
         first, count = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
         missing = np.ones(len(h), bool)
-        for shift in (43, 22):  # two slots for each piece
+        for shift in (44, 22):  # two slots for each piece
             slot = (h >> np.uint64(shift)) & np.uint64(SLOTS - 1)
             hit = missing & (self.key[slot] == h) & (self.check[slot] == check) & (self.count[slot] > 0)
             first[hit], count[hit] = self.start[slot[hit]], self.count[slot[hit]]
@@ -118,7 +122,7 @@ class Encoder:
             first[lost], count[lost] = at[back], n[back]
             keep = (n > 0) & (n < 256) & (ends[new] - starts[new] <= LONGEST)
             new, at, n = new[keep], at[keep], n[keep]
-            slot = (h[new] >> np.uint64(43)) & np.uint64(SLOTS - 1)
+            slot = (h[new] >> np.uint64(44)) & np.uint64(SLOTS - 1)
             slot = np.where(self.count[slot] > 0, (h[new] >> np.uint64(22)) & np.uint64(SLOTS - 1), slot)
             # of pieces that want the same slot the last stays, in all four arrays
             _, last = np.unique(slot[::-1], return_index=True)

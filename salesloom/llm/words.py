@@ -24,7 +24,7 @@ def seeds(n: int, stream: int = 0) -> np.ndarray:
     return mixed(counter * np.uint64(0x9E3779B97F4A7C15))
 
 
-def groups(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def groups(column: pa.Array, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The texts of a string column as bytes with row bounds, about ``most`` bytes at a time; nulls are empty."""
     column = pc.fill_null(column, "")
     if isinstance(column, pa.ChunkedArray):
