@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import near_dup, packing, prefix_hash, quality, rans, warc
+from salesloom.llm import near_dup, packing, prefix_hash, quality, rans, templates, warc
 from salesloom.llm.store import ship, table, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,10 @@ SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, m.component_id, d.doc_id = m.co
 FROM documents d JOIN m USING (doc_id) LEFT JOIN c USING (doc_id)""")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op8_log_template_lines")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    out = templates.assess(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.length("clean_text").cast("long").alias("n_chars_left"),
+                      F.sha2("clean_text", 256).alias("clean_sha256"))
