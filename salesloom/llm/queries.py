@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import near_dup, packing, prefix_hash, quality, rans, templates, warc
+from salesloom.llm import mixing, near_dup, packing, prefix_hash, quality, rans, templates, warc
 from salesloom.llm.store import ship, table, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     out = templates.assess(table(spark, folder, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.length("clean_text").cast("long").alias("n_chars_left"),
                       F.sha2("clean_text", 256).alias("clean_sha256"))
+
+
+@query("op1_mixing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.assess(table(spark, folder, "documents").select("doc_id", "text", "source"))
