@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import mixing, near_dup, packing, prefix_hash, quality, rans, templates, warc
+from salesloom.llm import licences, mixing, near_dup, packing, prefix_hash, quality, rans, templates, warc
 from salesloom.llm.store import ship, table, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_mixing")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.assess(table(spark, folder, "documents").select("doc_id", "text", "source"))
+
+
+@query("op10_licence_scan")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents").select("doc_id", "text"))
