@@ -2,9 +2,9 @@
 
 Documents with the same shingle set are one node from the start, so copies cost one node. A node's sketch is cut into
 bands; nodes that share a band are candidates. Each bucket compares its members with one pivot first, which is linear
-in the bucket and connects groups of near copies. Only members that are still apart are compared further: then every
-member outside the bucket's main component becomes a pivot too. So no link is lost within a bucket, and the pairs of
-a large group are never listed.
+in the bucket and connects groups of near copies. Only members that are still outside the pivot's component are
+compared further, with whole blocks of nodes through inverted lists. So no link is lost within a bucket, and the pairs
+of a large group are never listed.
 """
 
 from __future__ import annotations
@@ -186,41 +186,96 @@ def verified(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFr
 def similar_links(members: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
     """Links (one, two) that connect all nodes of similar sets sharing a bucket of ``members`` (bucket, node, n).
 
-    First every member is compared with the least node of its bucket. From then on, in each bucket that still holds
-    several components, the members outside the component of that first pivot are compared with all members of other
-    components, PIVOTS of them for each bucket in the first of these rounds and four times as many in each further
-    one, until none is left. Pairs whose sizes ``n`` alone rule out the similarity are not listed.
+    Every member is compared with the pivot of its bucket, the least node. Of two members that are still in different
+    components one at least is outside the pivot's component: each of these goes to all blocks of nodes that hold
+    one of its bucket's members. Pairs whose sizes ``n`` alone rule out the similarity are not listed.
     """
-    def sizes_allow(a: str, b: str):
-        return F.least(a, b) * whole >= F.greatest(a, b) * part
-
     first = staged(members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("p")).select(
         "bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n")), "pivots")
-    pairs = members.join(first, "bucket").filter(F.col("node") != F.col("pivot")).filter(sizes_allow("n", "pivot_n"))
+    pairs = members.join(first, "bucket").filter(
+        (F.col("node") != F.col("pivot")) & (F.least("n", "pivot_n") * whole >= F.greatest("n", "pivot_n") * part))
     links = verified(pairs.select(F.col("pivot").alias("one"), F.col("node").alias("two")), sets, part, whole)
-    done = first.select("bucket", F.col("pivot").alias("node"))
-    slots = PIVOTS
-    while True:
-        placed = staged(members.join(components(links), "node", "left").select(
-            "bucket", "node", "n", F.coalesce("component", "node").alias("component")), "placed")
-        main = staged(placed.join(first.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"])
-                      .select("bucket", F.col("component").alias("main")), "main")
-        apart = placed.join(main, "bucket").filter("component <> main").join(done, ["bucket", "node"], "left_anti")
-        chosen = staged(apart.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")).agg(
-            F.min(F.struct("node", "component", "n")).alias("p")).select(
-            "bucket", F.col("p.node").alias("pivot"), F.col("p.component").alias("pivot_component"),
-            F.col("p.n").alias("pivot_n")), "pivots")
-        if chosen.isEmpty():
-            return links
-        pairs = placed.join(chosen, "bucket").filter("component <> pivot_component").filter(
-            sizes_allow("n", "pivot_n")).select(F.least("pivot", "node").alias("one"),
-                                                F.greatest("pivot", "node").alias("two"))
-        links = links.unionByName(verified(pairs, sets, part, whole))
-        done = done.unionByName(chosen.select("bucket", F.col("pivot").alias("node")))
-        slots *= 4
-
-
-PIVOTS = 64
+    placed = staged(members.join(components(links), "node", "left").select(
+        "bucket", "node", F.coalesce("component", "node").alias("component")), "placed")
+    main = staged(placed.join(first.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"])
+                  .select("bucket", F.col("component").alias("main")), "main")
+    apart = staged(placed.join(main, "bucket").filter("component <> main").select("bucket", "node"), "apart")
+    return links.unionByName(block_links(members, first, apart, sets, part, whole))
+
+
+BLOCK, QUERIES = 256, 1000
+
+
+def block_links(members: DataFrame, first: DataFrame, apart: DataFrame, sets: DataFrame, part: int,
+                whole: int) -> DataFrame:
+    """Links of each node of ``apart`` (bucket, node) to nodes in blocks that hold a member of its bucket.
+
+    Nodes are put into blocks of about BLOCK, nodes of the same group together: by the least pivot of their buckets
+    and, where many have the same, by a hash. A node is compared with a block through the block's inverted lists, so
+    rows are made for nodes and blocks, not for pairs. A block with many nodes to compare is handled in several
+    places, QUERIES at a time.
+    """
+    home = staged(members.join(first, "bucket").groupBy("node").agg(F.min("pivot").alias("home")), "homes")
+    sizes = staged(home.groupBy("home").agg(F.count("*").alias("size")), "home-sizes")
+    blocks = staged(home.join(sizes, "home").select(
+        "node", "home", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).alias("block")), "blocks")
+    open_buckets = staged(apart.select("bucket").distinct(), "open-buckets")
+    present = staged(members.join(open_buckets, "bucket").join(blocks, "node").select(
+        "bucket", "home", "block").distinct(), "present")
+    queries = staged(apart.join(present, "bucket").select("node", "home", "block").distinct(), "queries")
+    turns = staged(queries.groupBy("home", "block").agg(F.ceil(F.count("*") / QUERIES).alias("turns")), "turns")
+    held = blocks.join(turns, ["home", "block"]).select(
+        "node", "home", "block", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.lit(0).alias("asks"))
+    asked = queries.join(turns, ["home", "block"]).select(
+        "node", "home", "block", F.pmod(F.xxhash64("node", F.lit(1)), "turns").alias("turn"), F.lit(1).alias("asks"))
+    rows = staged(held.unionByName(asked), "block-rows").join(sets, "node")
+    keys = ["home", "block", "turn"]
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "asks", "node")
+    return staged(dealt.select(*keys, "asks", "node", "items").mapInArrow(
+        _compare_blocks(part, whole), "one long, two long"), "block-links")
+
+
+class Block:
+    """Sets with inverted lists of their items."""
+
+    def __init__(self, nodes: list[int], sets: list[np.ndarray]):
+        self.nodes, self.sizes = np.array(nodes), np.array([len(s) for s in sets])
+        items = np.concatenate(sets)
+        order = np.argsort(items, kind="stable")
+        self.items, self.owners = items[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def similar(self, own: np.ndarray, part: int, whole: int) -> np.ndarray:
+        """The nodes whose sets are similar to ``own``."""
+        low, high = (np.searchsorted(self.items, own, side=side) for side in ("left", "right"))
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        both = np.bincount(self.owners[at], minlength=len(self.nodes))
+        return self.nodes[whole * both >= part * (self.sizes + len(own) - both)]
+
+
+def _compare_blocks(part: int, whole: int):
+    """Task: rows come by block, a block's own nodes before those to compare with it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nodes, sets, block = None, [], [], None
+        for batch in batches:
+            one, two = [], []
+            keys = zip(*(batch.column(c).to_pylist() for c in ("home", "block", "turn", "asks", "node")))
+            for (*key, asks, node), items in zip(keys, batch.column("items")):
+                if key != now:
+                    now, nodes, sets, block = key, [], [], None
+                own = np.frombuffer(items.as_buffer(), np.uint64)
+                if not asks:
+                    nodes.append(node)
+                    sets.append(own.copy())
+                    continue
+                block = block or Block(nodes, sets)
+                found = block.similar(own, part, whole)
+                found = found[found != node]
+                one += [node] * len(found)
+                two += found.tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())],
+                                             names=["one", "two"])
+    return run
 
 
 def near_duplicates(docs: DataFrame, width: int = 2, part: int = PART, whole: int = WHOLE) -> DataFrame:
