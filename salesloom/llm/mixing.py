@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.store import staged
+from salesloom.llm.store import set_aside, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCKS = 4096
@@ -140,13 +140,16 @@ def _with_blocks(rows: DataFrame, plan: Plan, spark: SparkSession) -> DataFrame:
     return joined.withColumn("__block", F.pmod(F.col("__h"), F.col("__blocks")).cast("int"))
 
 
+CHOSEN = ["__c_no", "__c_id", "__c_h", "__c_size"]
+
+
 def _fill_blocks(frame):
     """Of each source's block that is drawn in part, the documents to take."""
     import pandas as pd
 
     frame = frame.sort_values(["h", "id", "size"], na_position="first").reset_index(drop=True)
     taken = fill(list(enumerate(frame["weight"].tolist())), int(frame["words"].iloc[0]))
-    return pd.DataFrame(frame.loc[sorted(taken), ["no", "id", "h", "size"]])
+    return pd.DataFrame(frame.loc[sorted(taken), ["no", "id", "h", "size"]]).set_axis(CHOSEN, axis=1)
 
 
 def decide(rows: DataFrame, narrow: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
@@ -178,11 +181,11 @@ def decide(rows: DataFrame, narrow: DataFrame, recipe: Recipe = Recipe()) -> Dat
     chosen = staged(partly.groupBy(F.col("__no").alias("no"), F.col("doc_id").alias("id"), F.col("__h").alias("h"),
                                    F.col("__size").alias("size"), F.col("__words").alias("words")).agg(
         (F.count("*") * F.col("__size")).alias("weight")).groupBy("no").applyInPandas(
-        _fill_blocks, "no int, id long, h long, size long"), "partly-drawn").withColumn("__chosen", F.lit(True))
+        _fill_blocks, "__c_no int, __c_id long, __c_h long, __c_size long"), "partly-drawn").withColumn("__chosen", F.lit(True))
     out = _with_blocks(rows, plan, spark).join(drawn, ["__no", "__block"], "left")
-    same = (F.col("__part_shard").isNotNull() & (F.col("__no") == chosen["no"]) & (F.col("__h") == chosen["h"])
-            & (F.col("__size") == chosen["size"]) & F.col("doc_id").eqNullSafe(chosen["id"]))
-    out = out.join(chosen, same, "left").drop("no", "id", "h", "size")
+    same = (F.col("__part_shard").isNotNull() & (F.col("__no") == F.col("__c_no")) & (F.col("__h") == F.col("__c_h"))
+            & (F.col("__size") == F.col("__c_size")) & F.col("doc_id").eqNullSafe(F.col("__c_id")))
+    out = out.join(chosen, same, "left").drop(*CHOSEN)
     shards = F.concat(F.coalesce("__shards", F.array().cast("array<int>")),
                       F.when(F.col("__chosen"), F.array("__part_shard")).otherwise(F.array().cast("array<int>")))
     return out.withColumns({"shards": shards, "taken": F.size(shards) * F.col("__size")}).drop(
@@ -202,12 +205,8 @@ def assess(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
 
 def mix(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     """The mix itself: each document as often as it is taken, by shard and shuffled within it; columns of ``docs``."""
-    columns = docs.columns
-    plain = docs.select(*[F.col(f"`{c}`") for c in columns])
-    narrow = staged(sized(plain.select("doc_id", "text", "source"), recipe.seed).drop("text"), "sized")
-    clash = [c for c in columns if c in ("source_size", "target", "shards", "taken")]
-    safe = plain.withColumnsRenamed({c: f"__own_{c}" for c in clash})
+    safe, back = set_aside(docs, ["source_size", "target", "shards", "taken"])
+    narrow = staged(sized(docs.select("doc_id", "text", "source"), recipe.seed).drop("text"), "sized")
     taken = decide(sized(safe, recipe.seed), narrow, recipe)
     one = taken.select("*", F.posexplode("shards").alias("__time", "__shard"))
-    shuffled = one.repartition("__shard").sortWithinPartitions("__shard", F.xxhash64("__h", "__time"), "doc_id")
-    return shuffled.select(*[F.col(f"__own_{c}" if c in clash else c).alias(c) for c in columns])
+    return back(one.repartition("__shard").sortWithinPartitions("__shard", F.xxhash64("__h", "__time"), "doc_id"))

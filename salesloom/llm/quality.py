@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesloom.llm.store import set_aside
+
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
@@ -101,6 +103,10 @@ def repeated_words(hashes: Column) -> Column:
         bound(bound(F.array_sort(placed), starts), covered)).cast("long")
 
 
+ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_failed_lines", "lost_chars",
+         "base_failed", "kept", "clean_text"]
+
+
 def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents with their figures, verdict and cleaned text.
 
@@ -111,11 +117,9 @@ def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     ``lost_share`` per cent of its word characters with its failing lines. Repeated rows are judged alike.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_failed_lines", "lost_chars",
-             "base_failed", "kept", "clean_text"]
     chars = lambda lines: F.aggregate(
         F.transform(lines, word_characters), F.lit(0), lambda a, x: a + x)
-    out = docs.drop(*added).select(
+    out = docs.drop(*ADDED).select(
         "*",
         F.array_remove(F.split(text, WORD_BREAKS), "").alias("__words"),
         F.split(text, "\n", -1).alias("__lines"),
@@ -141,12 +145,13 @@ def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The accepted documents with failing lines taken out of ``text``; ``n_chars`` follows where there is one."""
+    safe, back = set_aside(docs, ADDED)
     # the row number keeps the filter above the verdict: pushed down it would work out every figure twice
-    out = assess(docs, rules).withColumn("__row", F.monotonically_increasing_id()).filter("kept AND __row >= 0")
+    out = assess(safe, rules).withColumn("__row", F.monotonically_increasing_id()).filter("kept AND __row >= 0")
     changed = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length("clean_text").cast("long")
-    return out.withColumns(changed).select(*docs.columns)
+    return back(out.withColumns(changed))
 
 
 def figures_sql(rules: Rules = Rules()) -> str:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesloom.session import staged, work_folder  # noqa: F401
 
@@ -43,3 +45,10 @@ def filesystem(uri: str):
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+
+
+def set_aside(docs: DataFrame, names: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns of these names renamed, and what gives its columns back."""
+    clash = {c: f"__own_{c}" for c in docs.columns if c.lower() in names}
+    back = [F.col(f"`{clash.get(c, c)}`").alias(c) for c in docs.columns]
+    return docs.withColumnsRenamed(clash), lambda out: out.select(*back)

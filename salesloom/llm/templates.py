@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.store import staged
+from salesloom.llm.store import set_aside, staged
 from salesloom.llm.words import IS_SPACE, LOWER, groups, mixed, seeds, segment_hashes
 
 FIELDS = 8
@@ -150,8 +150,9 @@ def assess(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
 
 def clean(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """The documents without recurring lines; documents of which nothing but those remains are left out."""
-    out = assess(docs, tree).filter(~((F.col("n_dropped") > 0) & ~F.rlike("clean_text", F.lit(r"[^\x20\x09-\x0D]"))))
+    safe, back = set_aside(docs, ["n_lines", "n_dropped", "clean_text"])
+    out = assess(safe, tree).filter(~((F.col("n_dropped") > 0) & ~F.rlike("clean_text", F.lit(r"[^\x20\x09-\x0D]"))))
     changed = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length("clean_text").cast("long")
-    return out.withColumns(changed).select(*docs.columns)
+    return back(out.withColumns(changed))
