@@ -82,7 +82,8 @@ def _(b): return d.top_products(b.items, b.sales, b.products)
 @query("a10_top_products_table_market", """
 SELECT sector, productId, coalesce(productName, 'Unknown') AS productName, brand, totalRevenue, totalQuantity,
        six(avgPrice) AS avgPrice
-FROM t_market_products ORDER BY totalRevenue DESC, sector, productId LIMIT 50""")
+FROM t_market_products
+QUALIFY row_number() OVER (PARTITION BY sector ORDER BY totalRevenue DESC, productId) <= 50""")
 def _(b):
     return d.top_products_table(t.market_top_products(t.company_top_products(b.placed_items, b.products)), 50)
 
@@ -137,8 +138,8 @@ SELECT a.employeeId, totalRevenue, totalSales, avgSaleAmount, maxSaleAmount,
        coalesce(e.employeeName, 'Unknown') AS employeeName, coalesce(e.position, 'N/A') AS position
 FROM (SELECT employeeId, {KPI}, CAST(max(totalAmount) AS DOUBLE) AS maxSaleAmount
       FROM v_sales WHERE employeeId IS NOT NULL GROUP BY employeeId) a
-LEFT JOIN v_employees e ON e.employeeId = a.employeeId ORDER BY totalRevenue DESC, a.employeeId LIMIT 100""")
-def _(b): return d.employee_performance(b.sales, b.employees, k=100)
+LEFT JOIN v_employees e ON e.employeeId = a.employeeId ORDER BY totalRevenue DESC, a.employeeId LIMIT 120""")
+def _(b): return d.employee_performance(b.sales, b.employees, k=120)
 
 
 @query("a15_employee_performance_company", f"""
@@ -154,15 +155,15 @@ def _(b): return d.employee_performance(b.sales, b.employees, Filters(companyId=
 SELECT s.companyId, s.employeeId, {KPI}, e.employeeName, e.position
 FROM v_sales s JOIN v_employees e ON e.employeeId = s.employeeId AND e.companyId = s.companyId
 GROUP BY s.companyId, s.employeeId, e.employeeName, e.position
-ORDER BY totalRevenue DESC, s.companyId, s.employeeId LIMIT 50""")
+QUALIFY row_number() OVER (PARTITION BY s.companyId ORDER BY totalRevenue DESC, s.employeeId) <= 50""")
 def _(b): return d.company_employee_performance(b.sales, b.employees)
 
 
 @query("a17_employees_table", f"""
 SELECT companyId, employeeId, employeeName, 'N/A' AS position, revenue AS totalRevenue, salesCount AS totalSales,
        six(avgSaleAmount) AS avgSaleAmount, six(avgSaleAmount) AS maxSaleAmount
-FROM t_employees ORDER BY revenue DESC, companyId, employeeId LIMIT 100""")
-def _(b): return d.employees_table(t.company_employees(b.sales, b.employees), k=100)
+FROM t_employees ORDER BY revenue DESC, companyId, employeeId LIMIT 120""")
+def _(b): return d.employees_table(t.company_employees(b.sales, b.employees), k=120)
 
 
 DASHBOARD_SQL = """
@@ -223,9 +224,7 @@ def _(b): return d.company_in_sector(b.sales, COMPANY, SECTOR)
 @query("a24_combined_market", """
 SELECT 'topProducts' AS section, key, totalRevenue, CAST(NULL AS DOUBLE) AS totalSales, totalQuantity FROM (
   SELECT CAST(productId AS STRING) AS key, CAST(sum(CAST(totalRevenue AS DECIMAL(28,4))) AS DOUBLE) AS totalRevenue, CAST(sum(totalQuantity) AS DOUBLE) AS totalQuantity
-  FROM (SELECT *, row_number() OVER (PARTITION BY sector ORDER BY totalRevenue DESC, productId) AS r
-        FROM t_market_products WHERE sector IN ('BUILDING', 'MACHINERY'))
-  WHERE r <= 50 GROUP BY productId ORDER BY sum(totalQuantity) DESC, productId LIMIT 20)
+  FROM t_market_products WHERE sector IN ('BUILDING', 'MACHINERY') GROUP BY productId ORDER BY sum(totalQuantity) DESC, productId LIMIT 20)
 UNION ALL SELECT 'salesByRegion', region, CAST(sum(CAST(revenue AS DECIMAL(28,4))) AS DOUBLE), CAST(sum(salesCount) AS DOUBLE), NULL FROM t_region
   WHERE sector IN ('BUILDING', 'MACHINERY') GROUP BY region
 UNION ALL SELECT 'summary', NULL, CAST(sum(CAST(marketRevenue AS DECIMAL(28,4))) AS DOUBLE), CAST(sum(totalCompanies) AS DOUBLE), NULL FROM t_market

@@ -305,14 +305,18 @@ def _(b):
 @query("rc08_clean_employee_names", """
 SELECT c_custkey, CASE WHEN cut IS NULL OR length(cut) < 3 OR regexp_matches(cut, '^[0-9a-fA-F]{4,}$')
                        THEN 'Employee ' || right(CAST(c_custkey AS STRING), 4) ELSE cut END AS employeeName
-FROM (SELECT c_custkey, trim(regexp_replace(trim(raw), '\\s*-\\s*(شركة|Company).*$', '', 'i')) AS cut FROM
-  (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN c_name || ' - Company X' WHEN 1 THEN c_name || ' - شركة' WHEN 2 THEN '  '
-          WHEN 3 THEN 'ab12' WHEN 4 THEN ' ' || c_name ELSE NULL END AS raw FROM customer))""")
+FROM (SELECT c_custkey, trim(regexp_replace(CASE WHEN contains(split_part(trim(raw), ' - ', 2), 'شركة')
+          OR contains(split_part(trim(raw), ' - ', 2), 'Company') THEN trim(split_part(trim(raw), ' - ', 1))
+          ELSE trim(raw) END, '\\s*-\\s*(شركة|Company).*$', '', 'i')) AS cut FROM
+  (SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN c_name || ' - Company X' WHEN 1 THEN c_name || ' - شركة' WHEN 2 THEN '  '
+          WHEN 3 THEN 'ab12' WHEN 4 THEN ' ' || c_name WHEN 5 THEN c_name || ' - Acme Company' ELSE NULL END AS raw
+   FROM customer))""")
 def _(b):
     people = b.read("customer")
-    kind, name = F.col("c_custkey") % 6, F.col("c_name")
+    kind, name = F.col("c_custkey") % 7, F.col("c_name")
     raw = (F.when(kind == 0, F.concat(name, F.lit(" - Company X"))).when(kind == 1, F.concat(name, F.lit(" - شركة")))
-           .when(kind == 2, "  ").when(kind == 3, "ab12").when(kind == 4, F.concat(F.lit(" "), name)))
+           .when(kind == 2, "  ").when(kind == 3, "ab12").when(kind == 4, F.concat(F.lit(" "), name))
+           .when(kind == 5, F.concat(name, F.lit(" - Acme Company"))))
     return people.select("c_custkey", names.clean_employee_name(raw, F.col("c_custkey")).alias("employeeName"))
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.catalog.bindings import Tables, items_of_sales, sales_of_events
@@ -44,11 +45,20 @@ def event_stream(b: Tables, flush: bool) -> DataFrame:
     return events.unionByName(b.spark.readStream.schema(schema).parquet(folder))
 
 
+@contextlib.contextmanager
+def few_stores(spark: SparkSession):
+    """One state store per shuffle partition and operator: a local run needs few. The setting is put back."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        if spark.conf.get("spark.master", "").startswith("local"):
+            spark.conf.set(key, min(int(before), os.cpu_count() or 8))
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def inputs(b: Tables, flush: bool) -> runner.Inputs:
-    local = b.spark.conf.get("spark.master", "").startswith("local")
-    if local:  # one state store per shuffle partition and operator: a local run needs few
-        b.spark.conf.set("spark.sql.shuffle.partitions", min(int(b.spark.conf.get("spark.sql.shuffle.partitions")),
-                                                             os.cpu_count() or 8))
     sales = sales_of_events(event_stream(b, flush))
     items = items_of_sales(sales_of_events(event_stream(b, flush)), b.read("part"))
     return runner.Inputs(sales, items, b.products, b.employees)
@@ -59,7 +69,8 @@ def streamed(b: Tables, name: str) -> DataFrame:
     spec = runner.BY_NAME[name]
     root = work_folder(b.spark, "stream")
     options = {**SLOT, **({"bound": "2 minutes"} if name == "company_brands" else {})}
-    runner.start(spec, inputs(b, spec.mode == "append"), root, once=True, **options).awaitTermination()
+    with few_stores(b.spark):
+        runner.start(spec, inputs(b, spec.mode == "append"), root, once=True, **options).awaitTermination()
     return plain_times(live_windows(b.spark, f"{root}/{name}", spec.columns))
 
 
@@ -193,7 +204,8 @@ def kept(b: Tables, table: str, *ledgers: str) -> DataFrame:
     root = work_folder(b.spark, "stream")
     for name in ledgers:
         flush = runner.BY_NAME[name].mode == "append"
-        runner.start(runner.BY_NAME[name], inputs(b, flush), root, once=True, **SLOT).awaitTermination()
+        with few_stores(b.spark):
+            runner.start(runner.BY_NAME[name], inputs(b, flush), root, once=True, **SLOT).awaitTermination()
     return runner.result_tables(b.spark, root, b.products, b.employees)[table]()
 
 
@@ -282,19 +294,23 @@ def _(b):
 
 
 @query("s04_dedup_events", "SELECT saleId, companyId, CAST(totalAmount AS DOUBLE) AS totalAmount FROM v_ev_sales")
-def _(b): return dedup_events(b.ev_sales.unionByName(b.ev_sales), ["saleId"]).select(
-    "saleId", "companyId", F.col("totalAmount").cast("double").alias("totalAmount"))
+def _(b):
+    """Each sale comes again a minute later with another amount; the first one counts."""
+    later = b.ev_sales.withColumns({"saleTime": F.col("saleTime") + F.expr("INTERVAL 1 MINUTE"),
+                                    "totalAmount": (F.col("totalAmount") - 1).cast(dict(b.ev_sales.dtypes)["totalAmount"])})
+    return dedup_events(later.unionByName(b.ev_sales), ["saleId"]).select(
+        "saleId", "companyId", F.col("totalAmount").cast("double").alias("totalAmount"))
 
 
 @query("s04_dedup_stream", "SELECT saleId, companyId, CAST(totalAmount AS DOUBLE) AS totalAmount FROM v_ev_sales")
 def _(b):
-    inputs(b, False)
     twice = [sales_of_events(event_stream(b, False)).withColumn("offset", F.lit(copy)) for copy in (0, 1)]
     unique = dedup_events(twice[0].unionByName(twice[1]), ["saleId"], spread=F.col("offset"))
     root = work_folder(b.spark, "stream")
     rows = unique.select("saleId", "companyId", F.col("totalAmount").cast("double").alias("totalAmount"))
-    (rows.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
-     .trigger(availableNow=True).foreachBatch(lambda df, n: write_batch(df, n, root)).start().awaitTermination())
+    with few_stores(b.spark):
+        (rows.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(availableNow=True).foreachBatch(lambda df, n: write_batch(df, n, root)).start().awaitTermination())
     return b.spark.read.parquet(f"{root}/batches").drop("batch_id")
 
 

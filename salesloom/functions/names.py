@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Company suffixes cut from employee names, and names made when none is known.
 COMPANY_SUFFIX = r"(?i)\s*-\s*(شركة|Company).*$"
+COMPANY_WORD = "شركة|Company"
 LOOKS_LIKE_ID = r"(?i)^[0-9a-f]{4,}$"
 UNKNOWN_EMPLOYEE = "Unknown Employee"
 UNKNOWN_NAME = "Unknown"
@@ -36,7 +37,12 @@ def resolve_product_name(*candidates: Column) -> Column:
 
 
 def clean_employee_name(name: Column, employee_id: Column) -> Column:
-    """Name without its company suffix; blank, very short or id-like names give the numbered name."""
-    cut = F.trim(F.regexp_replace(F.trim(name), COMPANY_SUFFIX, ""))
+    """Name without its company suffix; blank, very short or id-like names give the numbered name.
+
+    A company is what stands behind the first " - " and holds the word anywhere, or begins with it after a dash.
+    """
+    parts = F.split(F.trim(name), " - ")
+    whole = F.when(F.get(parts, F.lit(1)).rlike(COMPANY_WORD), F.trim(F.get(parts, F.lit(0)))).otherwise(F.trim(name))
+    cut = F.trim(F.regexp_replace(whole, COMPANY_SUFFIX, ""))
     usable = cut.isNotNull() & (F.length(cut) >= 3) & ~F.coalesce(cut.rlike(LOOKS_LIKE_ID), F.lit(True))
     return F.when(usable, cut).otherwise(numbered_employee(employee_id))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesloom.functions import buckets
@@ -77,8 +77,9 @@ def market_trend(sales: DataFrame, period: str = "daily", f: Filters = ALL) -> D
 def compare_products(company_products: DataFrame, market_products: DataFrame, k: int = 10) -> DataFrame:
     """Products of each company next to those of its market, by name (else id), first k by market revenue.
 
-    Each company meets the first k products of its market, with 0 where it does not sell one. Its own
-    further products can only be shown in a market with fewer than k, and only there they are ranked.
+    Each company meets the first k products of its market and those that tie with the last of them, with 0
+    where it does not sell one; its own revenue decides between ties. Products that the market does not list have
+    no market revenue and can only follow where fewer than k products have any.
     """
     name = F.coalesce("productName", F.col("productId").cast("string")).alias("productName")
     pair, product = ["companyId", "sector"], ["companyId", "sector", "productName"]
@@ -87,13 +88,14 @@ def compare_products(company_products: DataFrame, market_products: DataFrame, k:
     market = market_products.select("sector", name, F.col("totalRevenue").alias("revenue")) \
         .groupBy("sector", "productName").agg(total("revenue").alias("marketRevenue"))
     market_total = market.groupBy("sector").agg(total("marketRevenue").alias("marketTotal"))
-    leaders = top_per_group(market, ["sector"], ["-marketRevenue", "productName"], k).drop("rank")
+    leaders = market.withColumn("place", F.rank().over(
+        Window.partitionBy("sector").orderBy(F.desc("marketRevenue")))).filter(F.col("place") <= k).drop("place")
     leading = leaders.select("sector", "productName")
 
     sold = own.join(leading, ["sector", "productName"]).groupBy(*product).agg(total("revenue").alias("companyRevenue"))
     listed = own_total.join(leaders, "sector").join(sold, product, "left").fillna({"companyRevenue": 0.0})
-    short = leaders.groupBy("sector").count().filter(F.col("count") < k)
-    further = (own.join(short, "sector", "left_semi").join(leading, ["sector", "productName"], "left_anti")
+    full = leaders.filter("marketRevenue > 0").groupBy("sector").count().filter(F.col("count") >= k)
+    further = (own.join(full, "sector", "left_anti").join(leading, ["sector", "productName"], "left_anti")
                .groupBy(*product).agg(total("revenue").alias("companyRevenue"))
                .withColumn("marketRevenue", F.lit(0.0)).join(own_total, pair))
     rows = top_per_group(listed.unionByName(further), pair,

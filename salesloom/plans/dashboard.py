@@ -15,7 +15,7 @@ from salesloom.functions.measures import or_zero, ratio, sales_measures, total
 from salesloom.operators.filters import ALL, Filters, apply_filters, equal_to, has_employee
 from salesloom.operators.joins import (items_of_matching_sales, items_with_category, items_with_product,
                                        items_with_sale, lookup)
-from salesloom.operators.topk import top
+from salesloom.operators.topk import top, top_per_group
 
 SALE_COLUMNS = ["saleTime", "companyId", "branchId", "region", "sector", "saleStatus"]
 
@@ -42,7 +42,16 @@ def sales_by_type(sales: DataFrame, f: Filters = ALL) -> DataFrame:
 
 def summary_from_tables(company: DataFrame, market: DataFrame, f: Filters,
                         sales: DataFrame | None = None) -> DataFrame:
-    """Key figures from the small tables: a company over its sectors, else a sector, else the facts."""
+    """Key figures from the small tables: a company over its sectors, else a sector, else the facts.
+
+    The tables hold all time and all places, so any other filter is answered from the facts. Which source answers
+    depends on the filters alone; a company or sector without sales has zeros either way.
+    """
+    only = Filters(companyId=f.companyId, sector=f.sector)
+    if f != only and sales is not None:
+        return sales_summary(sales, f)
+    if f != only:
+        raise ValueError("with other filters than company and sector the sales are needed")
     if f.companyId is not None:
         rows = equal_to(company, companyId=f.companyId, sector=f.sector).select(
             F.col("revenue"), F.col("salesCount"))
@@ -51,10 +60,10 @@ def summary_from_tables(company: DataFrame, market: DataFrame, f: Filters,
             F.col("marketRevenue").alias("revenue"), F.col("marketSalesCount").alias("salesCount"))
     else:
         rows = None
-    if sales is not None and (rows is None or rows.isEmpty()):
-        return sales_summary(sales, f)
-    if rows is None:
+    if rows is None and sales is None:
         raise ValueError("without company and sector the sales are needed")
+    if rows is None:
+        return sales_summary(sales, f)
     sums = rows.agg(or_zero(total("revenue")).alias("totalRevenue"),
                     or_zero(F.sum("salesCount")).alias("totalSales"))
     return sums.withColumn("averageSaleAmount", ratio(F.col("totalRevenue"), F.col("totalSales")))
@@ -151,10 +160,11 @@ def products_by_category(items: DataFrame, sales: DataFrame, categories: DataFra
 
 
 def top_products_table(table: DataFrame, k: int = 10, **values: str) -> DataFrame:
-    """Company or market product table by revenue (10, 15 or 50 rows)."""
+    """First k products by revenue of each company, or of each sector of the market (10, 15 or 50)."""
     rows = equal_to(table, **values).withColumn("productName", F.coalesce("productName", F.lit(names.UNKNOWN_NAME)))
-    tie = [c for c in ("companyId", "sector", "productId") if c in table.columns]
-    return top(rows, ["-totalRevenue", *tie], k)
+    group = "companyId" if "companyId" in table.columns else "sector"
+    tie = [c for c in ("sector", "productId") if c in table.columns]
+    return top_per_group(rows, [group], ["-totalRevenue", *tie], k).drop("rank")
 
 
 def brands_table(table: DataFrame, **values: str) -> DataFrame:
@@ -182,15 +192,16 @@ def employee_performance(sales: DataFrame, employees: DataFrame, f: Filters = AL
     else:
         rows = lookup(sums, equal_to(employees, companyId=f.companyId), "employeeId",
                       ["employeeName", "position"], "inner")
-    return top(_named(rows), ["-totalRevenue", "employeeId"], None if k is None else min(k, 100))
+    return top(_named(rows), ["-totalRevenue", "employeeId"], k)
 
 
 def company_employee_performance(sales: DataFrame, employees: DataFrame, f: Filters = ALL,
                                  k: int | None = 50) -> DataFrame:
-    """Employees of the company that made the sale, for all companies or the filtered one."""
+    """First k employees of each company that made the sales, for all companies or the filtered one."""
     sums = has_employee(apply_filters(sales, f)).groupBy("companyId", "employeeId").agg(*sales_measures())
     rows = lookup(sums, employees, ["employeeId", "companyId"], ["employeeName", "position"], "inner")
-    return top(rows, ["-totalRevenue", "companyId", "employeeId"], k)
+    order = ["-totalRevenue", "employeeId"]
+    return top(rows, ["companyId", *order]) if k is None else top_per_group(rows, ["companyId"], order, k).drop("rank")
 
 
 def employees_table(table: DataFrame, company_id: str | None = None, k: int = 10) -> DataFrame:
@@ -199,7 +210,7 @@ def employees_table(table: DataFrame, company_id: str | None = None, k: int = 10
         F.lit(names.UNKNOWN_POSITION).alias("position"), F.col("revenue").alias("totalRevenue"),
         F.col("salesCount").alias("totalSales"), "avgSaleAmount",
         F.col("avgSaleAmount").alias("maxSaleAmount"))
-    return top(rows, ["-totalRevenue", "companyId", "employeeId"], min(k, 100))
+    return top(rows, ["-totalRevenue", "companyId", "employeeId"], k)
 
 
 # Whole dashboards.
@@ -274,15 +285,9 @@ def sector_overview(market: DataFrame, region: DataFrame, market_products: DataF
 
 
 def combined_market(market: DataFrame, region: DataFrame, market_products: DataFrame,
-                    sectors: Sequence[str], per_sector: int = 50, k: int = 20) -> DataFrame:
-    """Several sectors seen as one market: their listed products and regions added up again.
-
-    Each sector contributes its listed top products, as its own dashboard shows them.
-    """
-    listed = [top_products_table(market_products, per_sector, sector=s) for s in sectors]
-    rows = listed[0]
-    for other in listed[1:]:
-        rows = rows.unionByName(other)
+                    sectors: Sequence[str], k: int = 20) -> DataFrame:
+    """Several sectors seen as one market: products and regions are added up, then the first k are shown."""
+    rows = market_products.filter(F.col("sector").isin(*sectors))
     products = top(rows.groupBy("productId").agg(F.sum("totalQuantity").alias("totalQuantity"),
                                                  total("totalRevenue").alias("totalRevenue")),
                    ["-totalQuantity", "productId"], k)

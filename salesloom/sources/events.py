@@ -61,7 +61,10 @@ def topic_stats(events: DataFrame, id_of: Column | None = None) -> DataFrame:
     """
     ids = F.get_json_object("value", "$._id") if id_of is None else id_of
     partition = F.col("partition") if "partition" in events.columns else F.lit(0)
-    bad = F.from_json("value", T.StructType([T.StructField("eventType", T.StringType())]))["eventType"].isNull()
+    # a valid message without a known field is no error: only what cannot be decoded is
+    shape = T.StructType([T.StructField("eventType", T.StringType()), T.StructField("_bad", T.StringType())])
+    read = F.from_json("value", shape, {"columnNameOfCorruptRecord": "_bad"})
+    bad = read.isNull() | read["_bad"].isNotNull()
     per_id = events.groupBy("topic", partition.alias("part"), ids.alias("id"), bad.alias("bad")).agg(
         F.count("*").alias("n"))
     return per_id.groupBy("topic").agg(

@@ -12,12 +12,18 @@ def dedup_events(events: DataFrame, ids: Sequence[str], time: str = "saleTime",
                  spread: Column | None = None, parts: int = 16) -> DataFrame:
     """First message of each id.
 
-    In batch, copies are dropped in the map tasks before the shuffle. In a stream, where they would all
-    travel to one task, ``spread`` (any column that differs between copies, such as the broker offset)
-    splits an id over ``parts`` tasks first; the second step then sees at most that many copies.
+    In batch, first means the least ``time``, then the least ``spread``, then the least row; copies are
+    reduced in the map tasks before the shuffle. In a stream, where they would all travel to one task, ``spread``
+    (any column that differs between copies, such as the broker offset) splits an id over ``parts`` tasks
+    first; the second step then sees at most that many copies.
     """
     if not events.isStreaming:
-        return events.dropDuplicates(list(ids))
+        others = [c for c in events.columns if c not in ids]
+        order = F.struct(F.col(time).isNull().alias("late"), F.col(time).alias("time"),
+                         *([spread.alias("spread")] if spread is not None else []),
+                         *[F.col(c) for c in others if dict(events.dtypes)[c] != "variant"])
+        first = events.groupBy(*ids).agg(F.min_by(F.struct(*events.columns), order).alias("first"))
+        return first.select("first.*")
     events = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, within)
     if spread is not None:
         events = events.withColumn("part", F.pmod(F.xxhash64(spread), parts)) \

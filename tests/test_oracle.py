@@ -7,10 +7,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from salesloom.catalog import QUERIES, SQL
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +31,7 @@ def rows(pdf: pd.DataFrame) -> list[tuple]:
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -43,3 +44,9 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_streamed_queries_leave_the_settings_alone(spark):
+    before = dict(spark.conf.getAll)
+    QUERIES["st01_sector_stream"](spark, FOLDER).count()
+    assert dict(spark.conf.getAll) == before

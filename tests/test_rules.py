@@ -271,3 +271,42 @@ def test_hot_key(spark):
     products = spark.createDataFrame([("p", "Pen", "b")], "productId string, productName string, brand string")
     assert sales_with_items(heads, items.drop("companyId", "sector"), products).count() == 3000
     assert ingest.recompute_totals(heads, items).filter("saleId = 0").first().totalAmount == 2500.0
+
+
+def test_company_word_behind_the_dash(spark):
+    rows = spark.createDataFrame([("Ann Lee - Acme Company", 1), ("Bob - Sales Team", 2), ("Cid-Company X", 3)], "n string, i int")
+    cleaned = [r[0] for r in rows.select(names.clean_employee_name(F.col("n"), F.col("i"))).collect()]
+    assert cleaned == ["Ann Lee", "Bob - Sales Team", "Cid"]
+
+
+def test_comparison_breaks_a_tie_at_the_last_place_by_own_revenue(spark):
+    from salesloom.plans import compare
+    own = spark.createDataFrame([("c", "s", 2, "b", 100.0), ("d", "s", 1, "a", 100.0)],
+                                "companyId string, sector string, productId long, productName string, totalRevenue double")
+    market = own.drop("companyId")
+    got = {r.companyId: r.productName for r in compare.compare_products(own, market, 1).collect()}
+    assert got == {"c": "b", "d": "a"}
+
+
+def test_combined_market_adds_up_before_the_cut(spark):
+    market = spark.createDataFrame([("s", 10.0, 1), ("t", 10.0, 1)], "sector string, marketRevenue double, totalCompanies long")
+    region = spark.createDataFrame([("s", "r", 1.0, 1)], "sector string, region string, revenue double, salesCount long")
+    products = spark.createDataFrame(
+        [(s, p, f"p{p}", q, r) for s in "st" for p, q, r in ((1, 1, 500.0), (2, 100, 5.0))],
+        "sector string, productId long, productName string, totalQuantity long, totalRevenue double")
+    got = dashboard.combined_market(market, region, products, ["s", "t"], k=1).filter("section = 'topProducts'").first()
+    assert (got.key, got.totalQuantity) == ("2", 200.0)
+
+
+def test_topic_errors_are_undecodable_messages_only(spark):
+    from salesloom.sources.events import topic_stats
+    rows = spark.createDataFrame([("t", '{"_id": "1"}'), ("t", '{"_id": "2", "eventType": "x"}'), ("t", '{"_id": ')],
+                                 "topic string, value string")
+    assert topic_stats(rows).first().errors == 1
+
+
+def test_first_copy_of_an_id(spark):
+    from salesloom.streaming.dedup import dedup_events
+    rows = spark.createDataFrame([(1, "2024-01-01 00:05:00", 2.0), (1, "2024-01-01 00:00:00", 9.0), (2, None, 1.0)],
+                                 "saleId int, saleTime string, amount double")
+    assert {r.saleId: r.amount for r in dedup_events(rows, ["saleId"]).collect()} == {1: 9.0, 2: 1.0}
