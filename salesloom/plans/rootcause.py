@@ -36,12 +36,12 @@ def gaps(company: DataFrame, market: DataFrame) -> DataFrame:
         "hasRevenueProblem", revenue_problem())
 
 
-def _leaders(df: DataFrame, keys: Sequence[str], name: str, revenue: str, k: int, side: str) -> DataFrame:
-    """Per group: first entry, its revenue, names and revenue of the first three, from the first k rows.
+LEADERS = 3
 
-    At most k rows per group are left when the array is built.
-    """
-    ranked = top_per_group(df, keys, ["-" + revenue, name], k).filter(F.col("rank") <= 3)
+
+def _leaders(df: DataFrame, keys: Sequence[str], name: str, revenue: str, side: str) -> DataFrame:
+    """Per group: first entry, its revenue, names and revenue of the first three, which are all the array holds."""
+    ranked = top_per_group(df, keys, ["-" + revenue, name], LEADERS)
     entry = F.struct("rank", F.col(name).alias("name"), F.col(revenue).alias("revenue"))
     grouped = ranked.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("first"))
     return grouped.select(
@@ -90,8 +90,8 @@ def root_cause_revenue(base: DataFrame) -> DataFrame:
 
 def root_cause_brand(base: DataFrame, company_brands: DataFrame, market_brands: DataFrame) -> DataFrame:
     """A weak top brand, or first three brands that neither match nor cover the market's."""
-    own = _leaders(company_brands, ["companyId", "sector"], "brand", "revenue", COMPANY_BRANDS, "own")
-    market = _leaders(market_brands, ["sector"], "brand", "totalRevenue", MARKET_BRANDS, "market")
+    own = _leaders(company_brands, ["companyId", "sector"], "brand", "revenue", "own")
+    market = _leaders(market_brands, ["sector"], "brand", "totalRevenue", "market")
     rows = (base.filter((F.col("revenue") > 0) & (F.col("marketRevenue") > 0))
             .join(own, ["companyId", "sector"]).join(market, "sector")
             .withColumn("ownShare", percent(F.col("ownTopRevenue"), F.col("revenue")))
@@ -202,8 +202,8 @@ def root_cause_category(base: DataFrame, company_categories: DataFrame, market_c
 
     Both tables have (…, sector, category, revenue).
     """
-    own = _leaders(company_categories, ["companyId", "sector"], "category", "revenue", COMPANY_BRANDS, "own")
-    market = _leaders(market_categories, ["sector"], "category", "revenue", MARKET_BRANDS, "market")
+    own = _leaders(company_categories, ["companyId", "sector"], "category", "revenue", "own")
+    market = _leaders(market_categories, ["sector"], "category", "revenue", "market")
     rows = (base.filter((F.col("revenue") > 0) & (F.col("marketRevenue") > 0))
             .join(own, ["companyId", "sector"]).join(market, "sector")
             .withColumn("ownShare", percent(F.col("ownTopRevenue"), F.col("revenue")))

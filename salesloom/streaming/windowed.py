@@ -44,7 +44,7 @@ def _product_windows(items: DataFrame, keys: Sequence[str], window: str, waterma
     timed = _timed(items, watermark).withColumn("w", F.window("saleTime", window))
     sums = group_with_texts(timed, ["w", *keys], ["brand"], {
         "totalRevenue": total("subtotal"), "totalQuantity": F.sum("quantity"),
-        "priceSum": F.sum("price"), "lines": F.count("price")})
+        "priceSum": F.sum("price"), "lines": F.count("price")}, plain=["priceSum"])
     return _flat(sums.withColumn("avgPrice", F.try_divide("priceSum", "lines")).drop("priceSum", "lines"))
 
 

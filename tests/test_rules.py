@@ -310,3 +310,20 @@ def test_first_copy_of_an_id(spark):
     rows = spark.createDataFrame([(1, "2024-01-01 00:05:00", 2.0), (1, "2024-01-01 00:00:00", 9.0), (2, None, 1.0)],
                                  "saleId int, saleTime string, amount double")
     assert {r.saleId: r.amount for r in dedup_events(rows, ["saleId"]).collect()} == {1: 9.0, 2: 1.0}
+
+
+def test_pages_by_the_last_key_follow_each_other(spark):
+    from salesloom.operators.topk import page_after
+    rows = spark.createDataFrame([(i, None if i % 7 == 0 else float(i % 5)) for i in range(40)], "id int, x double")
+    want, got, last = [r.id for r in top(rows, ["-x", "id"]).collect()], [], None
+    while found := page_after(rows, ["-x", "id"], last, 9).collect():
+        got, last = got + [r.id for r in found], found[-1].asDict()
+    assert got == want
+
+
+def test_average_price_keeps_small_prices(spark):
+    from salesloom.functions.measures import total
+    from salesloom.operators.grouping import group_with_texts
+    rows = spark.createDataFrame([(1, "a", 0.00001), (1, "b", 0.00002), (1, "a", 0.00001)], "k int, t string, price double")
+    got = group_with_texts(rows, ["k"], ["t"], {"p": F.sum("price")}, plain=["p"]).first()
+    assert abs(got.p - 0.00004) < 1e-12
