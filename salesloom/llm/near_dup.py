@@ -148,9 +148,10 @@ def components(links: DataFrame) -> DataFrame:
 
     def settled(df: DataFrame) -> bool:
         """Whether every node but the least of each component has that one as its only neighbour."""
-        several = df.groupBy("two").agg(F.count("*").alias("n")).filter("n > 1").select("two")
-        inner = df.select("one").distinct().join(df.select(F.col("two").alias("one")), "one", "left_semi")
-        return several.union(inner).isEmpty()
+        ends = df.select(F.col("one").alias("node"), F.lit(1).alias("as_one"), F.lit(0).alias("as_two")).union(
+            df.select("two", F.lit(0), F.lit(1)))
+        return ends.groupBy("node").agg(F.max("as_one").alias("as_one"), F.sum("as_two").alias("as_two")).filter(
+            "as_two > 1 OR as_one + as_two > 1").isEmpty()
 
     now = edges(links)
     while not settled(now):
@@ -195,12 +196,14 @@ def similar_links(members: DataFrame, sets: DataFrame, part: int, whole: int) ->
     pairs = members.join(first, "bucket").filter(
         (F.col("node") != F.col("pivot")) & (F.least("n", "pivot_n") * whole >= F.greatest("n", "pivot_n") * part))
     links = verified(pairs.select(F.col("pivot").alias("one"), F.col("node").alias("two")), sets, part, whole)
-    placed = staged(members.join(components(links), "node", "left").select(
+    named = components(links)
+    placed = staged(members.join(named, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component")), "placed")
-    main = staged(placed.join(first.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"])
-                  .select("bucket", F.col("component").alias("main")), "main")
+    main = placed.join(first.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"]).select(
+        "bucket", F.col("component").alias("main"))
     apart = staged(placed.join(main, "bucket").filter("component <> main").select("bucket", "node"), "apart")
-    return links.unionByName(block_links(members, first, apart, sets, part, whole))
+    links = named.select(F.col("component").alias("one"), F.col("node").alias("two"))
+    return links if apart.isEmpty() else links.unionByName(block_links(members, first, apart, sets, part, whole))
 
 
 BLOCK, QUERIES = 256, 1000
@@ -216,11 +219,10 @@ def block_links(members: DataFrame, first: DataFrame, apart: DataFrame, sets: Da
     places, QUERIES at a time.
     """
     home = staged(members.join(first, "bucket").groupBy("node").agg(F.min("pivot").alias("home")), "homes")
-    sizes = staged(home.groupBy("home").agg(F.count("*").alias("size")), "home-sizes")
+    sizes = home.groupBy("home").agg(F.count("*").alias("size"))
     blocks = staged(home.join(sizes, "home").select(
         "node", "home", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).alias("block")), "blocks")
-    open_buckets = staged(apart.select("bucket").distinct(), "open-buckets")
-    present = staged(members.join(open_buckets, "bucket").join(blocks, "node").select(
+    present = staged(members.join(apart.select("bucket").distinct(), "bucket").join(blocks, "node").select(
         "bucket", "home", "block").distinct(), "present")
     queries = staged(apart.join(present, "bucket").select("node", "home", "block").distinct(), "queries")
     turns = staged(queries.groupBy("home", "block").agg(F.ceil(F.count("*") / QUERIES).alias("turns")), "turns")
@@ -228,7 +230,7 @@ def block_links(members: DataFrame, first: DataFrame, apart: DataFrame, sets: Da
         "node", "home", "block", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.lit(0).alias("asks"))
     asked = queries.join(turns, ["home", "block"]).select(
         "node", "home", "block", F.pmod(F.xxhash64("node", F.lit(1)), "turns").alias("turn"), F.lit(1).alias("asks"))
-    rows = staged(held.unionByName(asked), "block-rows").join(sets, "node")
+    rows = held.unionByName(asked).join(sets, "node")
     keys = ["home", "block", "turn"]
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "asks", "node")
     return staged(dealt.select(*keys, "asks", "node", "items").mapInArrow(
@@ -299,7 +301,7 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = PART, whole: in
     full = staged(banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter(
         "low < high").select("bucket"), "buckets")
     members = staged(banded.join(full, "bucket").select("bucket", "node", "n"), "members")
-    wanted = staged(members.select(F.col("node").alias("doc_id")).distinct(), "wanted")
+    wanted = members.select(F.col("node").alias("doc_id")).distinct()
     sets = staged(rows.join(wanted, "doc_id", "left_semi").mapInArrow(
         _sets_with(lambda own: (own.tobytes(),), SETS, width), "node long, items binary"), "sets")
     links = similar_links(members, sets, part, whole)

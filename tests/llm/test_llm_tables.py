@@ -269,3 +269,21 @@ def test_pipeline(spark, real_docs, tokenizer):
     counts = Counter(r.doc_id for r in docs.collect())
     assert max(counts.values()) <= 2
     check_packing([r for r in corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()])
+
+
+@pytest.mark.parametrize("name", ["op2_warc", "op4_minhash_near_dedup", "op9_quality_rules"])
+def test_queries_match_their_sql(spark, name):
+    import duckdb
+
+    from salesloom.llm.queries import QUERIES, SQL
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    found, want = QUERIES[name](spark, folder).toPandas(), con.execute(SQL[name]).df()
+    key = found.columns[0]
+    found = found.sort_values(key).reset_index(drop=True)
+    want = want[list(found.columns)].sort_values(key).reset_index(drop=True)
+    assert found.astype(object).where(found.notna(), None).values.tolist() == \
+        want.astype(object).where(want.notna(), None).values.tolist()
