@@ -202,21 +202,24 @@ def similar_links(members: DataFrame, sets: DataFrame, part: int, whole: int) ->
     main = placed.join(first.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"]).select(
         "bucket", F.col("component").alias("main"))
     apart = staged(placed.join(main, "bucket").filter("component <> main").select("bucket", "node"), "apart")
+    components_of = placed.select("node", "component").distinct()
     links = named.select(F.col("component").alias("one"), F.col("node").alias("two"))
-    return links if apart.isEmpty() else links.unionByName(block_links(members, first, apart, sets, part, whole))
+    return links if apart.isEmpty() else links.unionByName(
+        block_links(members, components_of, first, apart, sets, part, whole))
 
 
 BLOCK, QUERIES = 256, 1000
 
 
-def block_links(members: DataFrame, first: DataFrame, apart: DataFrame, sets: DataFrame, part: int,
+def block_links(members: DataFrame, named: DataFrame, first: DataFrame, apart: DataFrame, sets: DataFrame, part: int,
                 whole: int) -> DataFrame:
     """Links of each node of ``apart`` (bucket, node) to nodes in blocks that hold a member of its bucket.
 
     Nodes are put into blocks of about BLOCK, nodes of the same group together: by the least pivot of their buckets
     and, where many have the same, by a hash. A node is compared with a block through the block's inverted lists, so
     rows are made for nodes and blocks, not for pairs. A block with many nodes to compare is handled in several
-    places, QUERIES at a time.
+    places, QUERIES at a time. Of the similar nodes in a block one for each other component makes a link: ``named``
+    has every node's component so far.
     """
     home = staged(members.join(first, "bucket").groupBy("node").agg(F.min("pivot").alias("home")), "homes")
     sizes = home.groupBy("home").agg(F.count("*").alias("size"))
@@ -230,10 +233,10 @@ def block_links(members: DataFrame, first: DataFrame, apart: DataFrame, sets: Da
         "node", "home", "block", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.lit(0).alias("asks"))
     asked = queries.join(turns, ["home", "block"]).select(
         "node", "home", "block", F.pmod(F.xxhash64("node", F.lit(1)), "turns").alias("turn"), F.lit(1).alias("asks"))
-    rows = held.unionByName(asked).join(sets, "node")
+    rows = held.unionByName(asked).join(staged(sets.join(named, "node"), "sets-named"), "node")
     keys = ["home", "block", "turn"]
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "asks", "node")
-    return staged(dealt.select(*keys, "asks", "node", "items").mapInArrow(
+    return staged(dealt.select(*keys, "asks", "node", "component", "items").mapInArrow(
         _compare_blocks(part, whole), "one long, two long"), "block-links")
 
 
@@ -258,23 +261,24 @@ class Block:
 def _compare_blocks(part: int, whole: int):
     """Task: rows come by block, a block's own nodes before those to compare with it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, nodes, sets, block = None, [], [], None
+        now, nodes, sets, block, component_of = None, [], [], None, {}
         for batch in batches:
             one, two = [], []
-            keys = zip(*(batch.column(c).to_pylist() for c in ("home", "block", "turn", "asks", "node")))
-            for (*key, asks, node), items in zip(keys, batch.column("items")):
+            keys = zip(*(batch.column(c).to_pylist() for c in ("home", "block", "turn", "asks", "node", "component")))
+            for (*key, asks, node, component), items in zip(keys, batch.column("items")):
                 if key != now:
-                    now, nodes, sets, block = key, [], [], None
+                    now, nodes, sets, block, component_of = key, [], [], None, {}
                 own = np.frombuffer(items.as_buffer(), np.uint64)
                 if not asks:
                     nodes.append(node)
                     sets.append(own.copy())
+                    component_of[node] = component
                     continue
                 block = block or Block(nodes, sets)
                 found = block.similar(own, part, whole)
-                found = found[found != node]
-                one += [node] * len(found)
-                two += found.tolist()
+                apart = {component_of[n]: n for n in found.tolist() if component_of[n] != component}
+                one += [node] * len(apart)
+                two += apart.values()
             yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())],
                                              names=["one", "two"])
     return run
