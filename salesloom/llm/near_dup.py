@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.store import staged
+from salesloom.llm.store import staged, staged_texts
 from salesloom.llm.words import IS_SPACE, groups, mixed, seeds, word_hashes
 
 BANDS, ROWS = 42, 6       # at a similarity of 0.8 a pair shares no band with probability 3e-6
@@ -293,7 +293,7 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = PART, whole: in
     component of its equals in text; alone, its component is null and it is kept.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = staged(rows.mapInArrow(_sets_with(_signature, SIGNATURES, width),
+    signed = staged_texts(rows.mapInArrow(_sets_with(_signature, SIGNATURES, width),
                                     "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"),
                     "signatures")
     keys = ["set_a", "set_b", "n_shingles"]
@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = PART, whole: in
         "low < high").select("bucket"), "buckets")
     members = staged(banded.join(full, "bucket").select("bucket", "node", "n"), "members")
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = staged(rows.join(wanted, "doc_id", "left_semi").mapInArrow(
+    sets = staged_texts(rows.join(wanted, "doc_id", "left_semi").mapInArrow(
         _sets_with(lambda own: (own.tobytes(),), SETS, width), "node long, items binary"), "sets")
     links = similar_links(members, sets, part, whole)
     # rows of one doc_id with different texts are different sets of the same document

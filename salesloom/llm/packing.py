@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.store import staged
+from salesloom.llm.store import staged, staged_texts
 from salesloom.llm.tokens import encoded
 
 Patterns = list[tuple[tuple[int, ...], int]]
@@ -226,7 +226,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: i
     end id. Rows with equal doc_id are packed each by itself, null doc_ids too. An empty table gives no rows. To the
     driver come the histogram (at most ``capacity`` rows) and one row for each task and length it holds.
     """
-    cut = staged(pieces(docs, tokenizer, end_id, capacity), "pieces")
+    cut = staged_texts(pieces(docs, tokenizer, end_id, capacity), "pieces")
     ranked = staged(cut.repartitionByRange("length", F.xxhash64("doc_id", "ids_crc32", "start")).mapInArrow(
         _numbered, PIECES_DDL + ", part long, rank long"), "pieces-ranked")
     histogram: Counter = Counter()

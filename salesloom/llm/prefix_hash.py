@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.store import staged
+from salesloom.llm.store import staged_texts
 
 PRIME = np.uint64((1 << 31) - 1)
 BASES = (1_103_515_245, 1_299_709_357)  # two independent hashes make 62 bits
@@ -176,7 +176,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     key = F.col("doc_id").asc_nulls_first()
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    done = staged(ordered.repartitionByRange(key).sortWithinPartitions(key, "text").mapInArrow(_within, EDGES_DDL),
+    done = staged_texts(ordered.repartitionByRange(key).sortWithinPartitions(key, "text").mapInArrow(_within, EDGES_DDL),
                   "fingerprints")
     first = done.filter("edge = 'first'").select(F.col("part").alias("next_part"), F.col("text").alias("following"))
     parts = sorted(r.next_part for r in first.select("next_part").collect())  # one number for each range

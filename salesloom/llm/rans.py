@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.store import filesystem, staged, work_folder
+from salesloom.llm.store import filesystem, staged, staged_texts, work_folder
 from salesloom.llm.tokens import encoded
 
 SCALE = 20                    # frequencies add up to 2 ** SCALE
@@ -248,7 +248,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -> Data
         F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     fs, root = filesystem(folder)
     fs.create_dir(root, recursive=True)
-    raw = staged(ordered.mapInArrow(
+    raw = staged_texts(ordered.mapInArrow(
         _write_raw(folder, tokenizer, end_id),
         "part long, raw string, n_docs long, n_tokens long, counts binary"), "rans-raw")
     sums = raw.select("counts").coalesce(16).mapInArrow(_added, "counts binary").collect()

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,24 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Rows that go to a Python worker at once; long texts make the usual 10,000 a large batch. It is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def staged_texts(df: DataFrame, purpose: str) -> DataFrame:
+    """``staged`` for what Python workers make of whole texts, in small batches."""
+    with batches_of(df.sparkSession):
+        return staged(df, purpose)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.store import set_aside, staged
+from salesloom.llm.store import set_aside, staged, staged_texts
 from salesloom.llm.words import IS_SPACE, LOWER, groups, mixed, seeds, segment_hashes
 
 FIELDS = 8
@@ -94,7 +94,7 @@ def recurring_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
 
     All lines of recurring templates but the first by doc_id, text_hash and line.
     """
-    found = staged(_keyed(docs).select("__id", "__hash", "text").mapInArrow(
+    found = staged_texts(_keyed(docs).select("__id", "__hash", "text").mapInArrow(
         _lines(tree.leading), ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'long'}" for f in LINES)),
         "lines")
     leaves = staged(found.groupBy("leaf").agg(F.count("*").alias("lines")).filter(

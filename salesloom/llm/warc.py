@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.store import filesystem, staged
+from salesloom.llm.store import filesystem, staged, staged_texts
 
 MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 18
@@ -129,7 +129,7 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = 1 << 30) -> DataFr
     """
     fs, root = filesystem(folder)
     fs.create_dir(root, recursive=True)
-    return staged(with_revisits(pages).mapInArrow(
+    return staged_texts(with_revisits(pages).mapInArrow(
         _write(folder, archive_bytes), "file string, size long, records long"), "warc-files")
 
 

@@ -140,7 +140,7 @@ def test_fingerprints_follow_the_next_document(spark, odd_docs, no_docs):
     assert sorted([(r.doc_id, r.n_chars, r.edited_sha256) for r in got], key=key) == sorted(want, key=key)
     by_id = {r.doc_id: r for r in got}
     assert by_id[1].fingerprint == by_id[2].fingerprint != by_id[6].fingerprint and by_id[1].near_next == 1.0
-    assert 0.6 < by_id[6].near_edited < 1 and all(0 <= r.near_edited <= 1 for r in got)
+    assert 0.6 < by_id[6].near_edited <= 1 and all(0 <= r.near_edited <= 1 for r in got)
     assert prefix_hash.fingerprints(no_docs).count() == 0
     single = prefix_hash.fingerprints(odd_docs.filter("doc_id = 1")).first()
     assert single.near_next == 1.0
