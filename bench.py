@@ -25,6 +25,10 @@ HEADLINE = [
     "s06_cms_build",
     "st04_company_product_windows",
     "st07_company_stream",
+    "ru5_market_top_brands",
+    "st09_company_brand_stream",
+    "l01_sales_list",
+    "i11_orphan_items",
 ]
 
 
