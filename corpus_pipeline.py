@@ -8,6 +8,8 @@ from salesloom.llm import mixing, near_dup, packing, quality, templates
 from salesloom.llm.queries import tokenizer_file
 from salesloom.llm.store import ship, staged, table
 
+WIDTH = 5  # words of a shingle in near dedup; query op4 takes two
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failing lines are taken out; documents that fail the base rules or lose too much text go."""
@@ -24,7 +26,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group of near copies stays; rows without doc_id stay."""
     ship(spark)
-    gone = near_dup.near_duplicates(docs).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    found = near_dup.near_duplicates(docs, width=WIDTH)
+    gone = found.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(staged(gone, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
 
 
