@@ -4,7 +4,8 @@ Lines are sorted into a tree of fixed depth: by their number of tokens, then by
 digit are variable fields from the start. Within a leaf the rest of a line is a fixed number of fields, each a run of
 tokens; a field that enough documents of the leaf share is constant, any other is variable. The constant fields make
 the line's template. A template that enough documents hold is recurring, and its lines are dropped but for the first
-one, so that text of copied documents does not vanish altogether.
+one, so that text of copied documents does not vanish altogether. A line with next to no variable fields needs no
+template: if two documents hold it, it is dropped but for the first one.
 
 Counting replaces the usual one-line-at-a-time matching of such trees: the outcome does not depend on the order of
 lines, and no leaf has to fit into one task.
@@ -29,13 +30,16 @@ PLACES = seeds(1 << 16, 9) | np.uint64(1)
 DIGIT = np.zeros(256, bool)
 DIGIT[48:58] = True
 LINES = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("n", pa.int32()),
-                   ("leaf", pa.int64()), *[(f"f{i}", pa.int64()) for i in range(FIELDS)]])
+                   ("leaf", pa.int64()), ("whole", pa.int64()), ("plain", pa.int32()),
+                   *[(f"f{i}", pa.int64()) for i in range(FIELDS)]])
 
 
 @dataclass(frozen=True)
 class Tree:
     leading: int = 3          # tokens that name a leaf, beside the number of tokens
     least_docs: int = 10      # documents that make a field constant and a template recurring
+    least_words: int = 3      # without a digit, in a line that two documents make recurring
+    most_variable: int = 10   # per cent of such a line's tokens that may have a digit
     constant_share: int = 60  # per cent of a template's tokens in constant fields, at least
 
 
@@ -55,7 +59,8 @@ def _lines(leading: int):
 
 
 def _group(data: np.ndarray, bounds: np.ndarray, leading: int) -> list[np.ndarray]:
-    """Row, line, number of tokens, leaf and fields of the lines with words of a group of texts."""
+    """Row, line, number of tokens, leaf, hash of the whole line, number of tokens without a digit and fields of the
+    lines with words of a group of texts."""
     inside = ~IS_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -63,9 +68,10 @@ def _group(data: np.ndarray, bounds: np.ndarray, leading: int) -> list[np.ndarra
     begins[first] |= inside[first]
     starts = np.flatnonzero(begins)
     if not len(starts):
-        return [np.zeros(0, t) for t in ("i8", "i4", "i4", "i8", *["i8"] * FIELDS)]
+        return [np.zeros(0, t) for t in ("i8", "i4", "i4", "i8", "i8", "i4", *["i8"] * FIELDS)]
     h = segment_hashes(np.where(inside, LOWER[data].astype(np.uint64) + np.uint64(1), np.uint64(0)), starts)
-    h = np.where(np.add.reduceat(DIGIT[data].astype(np.int32), starts) > 0, VARIABLE, h)
+    exact, digits = h, np.add.reduceat(DIGIT[data].astype(np.int32), starts) > 0
+    h = np.where(digits, VARIABLE, h)
     breaks = np.flatnonzero(data == 10)
     row_of = np.searchsorted(bounds, starts, side="right") - 1
     # lines of all rows in order: a row's first line, then one for each newline
@@ -78,10 +84,13 @@ def _group(data: np.ndarray, bounds: np.ndarray, leading: int) -> list[np.ndarra
     for k in range(leading):
         leaf = np.where(n > k, mixed(leaf + h[np.minimum(at + k, len(h) - 1)] + np.uint64(k)), leaf)
     place = np.arange(len(h)) - np.repeat(at, n)
+    whole = mixed(np.add.reduceat(exact * PLACES[place % len(PLACES)], at) + n.astype(np.uint64))
+    plain = np.add.reduceat((~digits).astype(np.int32), at)
     summed = np.concatenate([[np.uint64(0)], np.cumsum(h * PLACES[place % len(PLACES)])])
     cuts = [at + n * j // FIELDS for j in range(FIELDS + 1)]
     fields = [mixed(summed[b] - summed[a]).view(np.int64) for a, b in zip(cuts, cuts[1:])]
-    return [rows, line.astype(np.int32), n.astype(np.int32), leaf.view(np.int64), *fields]
+    return [rows, line.astype(np.int32), n.astype(np.int32), leaf.view(np.int64), whole.view(np.int64),
+            plain.astype(np.int32), *fields]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -89,10 +98,25 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64(text)})
 
 
+def equal_lines(found: DataFrame, tree: Tree) -> DataFrame:
+    """Lines that two documents hold word for word, but for the first: doc_id, text_hash, line, template."""
+    few = (F.col("n") - F.col("plain")) * 100 <= F.col("n") * tree.most_variable
+    own = found.filter(few & (F.col("plain") >= tree.least_words)).select("doc_id", "text_hash", "line", "whole")
+    document = F.xxhash64("doc_id", "text_hash")
+    several = staged(own.groupBy("whole").agg(F.min(document).alias("low"), F.max(document).alias("high")).filter(
+        "low < high").select("whole"), "equal-lines")
+    lines = staged(own.join(several, "whole"), "lines-held-equally")
+    here = F.struct("doc_id", "text_hash", "line")
+    first = staged(lines.groupBy("whole").agg(F.min(here).alias("first")), "first-lines")
+    return lines.join(first, "whole").filter(~here.eqNullSafe(F.col("first"))).select(
+        "doc_id", "text_hash", "line", F.col("whole").alias("template"))
+
+
 def recurring_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """Lines to drop: doc_id, text_hash, line (from 0), template.
 
-    All lines of recurring templates but the first by doc_id, text_hash and line.
+    All lines of recurring templates but the first by doc_id, text_hash and line, and all lines that two documents
+    hold word for word but the first. A line that both rules drop has two rows.
     """
     found = staged_texts(_keyed(docs).select("__id", "__hash", "text").mapInArrow(
         _lines(tree.leading), ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'long'}" for f in LINES)),
@@ -121,7 +145,7 @@ def recurring_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     known = staged(often.join(first, ["leaf", "template"]).select("leaf", "template", "first"), "templates")
     here = F.struct("doc_id", "text_hash", "line")
     return shaped.join(known, ["leaf", "template"]).filter(~here.eqNullSafe(F.col("first"))).select(
-        "doc_id", "text_hash", "line", "template")
+        "doc_id", "text_hash", "line", "template").unionByName(equal_lines(found, tree))
 
 
 def assess(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from salesloom.llm import templates
 
 
 def five_word_components(rows):
@@ -38,3 +39,17 @@ def test_near_dedup_stage_takes_five_words(spark):
     want = five_word_components(sorted(docs.collect()))
     kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
     assert kept == want and 80 < len(want) < 160
+
+
+def test_lines_that_two_documents_share_go(spark):
+    names = "ann bob cid dan eve fay".split()
+    shared = "this passage stands in two documents " + " ".join(f"{'abcdefgh'[i % 8]}{'xyzw' [i % 4]}" for i in range(60))
+    rows = [(i, f"{n} tells a tale that no one else has told\nsee {n}\ntable 3 of 7") for i, n in enumerate(names)]
+    rows += [(10, f"opening of ten\n{shared}"), (11, f"{shared.upper()}\nend of eleven"),
+             (12, f"only here and here again\nonly here and here again\n{shared} 5"), (13, f"{shared} 5"), (14, f"{shared} 6")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.clean_text for r in templates.assess(docs).collect()}
+    want = dict(rows)
+    # the first copy stays, whatever its case; short lines of numbers and lines of a single document stay
+    want.update({11: "end of eleven", 13: ""})
+    assert got == want
