@@ -1,9 +1,9 @@
 """Line de-duplication by log templates.
 
 Lines are sorted into a tree of fixed depth: by their number of tokens, then by their leading tokens. Tokens with a
-digit are variable fields from the start. Within a leaf the rest of a line is a fixed number of fields, each a run of
-tokens; a field that enough documents of the leaf share is constant, any other is variable. The constant fields make
-the line's template. A template that enough documents hold is recurring, and its lines are dropped but for the first
+digit are variable fields from the start; they are all the same token. Within a leaf every token is a field; a token
+that enough documents of the leaf have at the same place is constant, any other is variable. The constant tokens and
+their places make the line's template. A template that enough documents hold is recurring, and its lines are dropped but for the first
 one, so that text of copied documents does not vanish altogether. A line with next to no variable fields needs no
 template: if two documents hold it, it is dropped but for the first one.
 
@@ -18,49 +18,64 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.store import set_aside, staged, staged_texts
 from salesloom.llm.words import IS_SPACE, LOWER, groups, mixed, seeds, segment_hashes
 
-FIELDS = 8
 VARIABLE = np.uint64(0)
 PLACES = seeds(1 << 16, 9) | np.uint64(1)
 DIGIT = np.zeros(256, bool)
 DIGIT[48:58] = True
+LEAF_BITS = 22  # of a filter of leaves; a leaf that passes it by chance is taken out by a join
 LINES = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("n", pa.int32()),
-                   ("leaf", pa.int64()), ("whole", pa.int64()), ("plain", pa.int32()),
-                   *[(f"f{i}", pa.int64()) for i in range(FIELDS)]])
+                   ("leaf", pa.int64()), ("whole", pa.int64()), ("plain", pa.int32())])
+TOKENS = pa.schema([*list(LINES)[:5], ("tokens", pa.list_(pa.int64()))])
+LINES_DDL = "doc_id long, text_hash long, line int, n int, leaf long, whole long, plain int"
+TOKENS_DDL = "doc_id long, text_hash long, line int, n int, leaf long, tokens array<long>"
 
 
 @dataclass(frozen=True)
 class Tree:
     leading: int = 3          # tokens that name a leaf, beside the number of tokens
-    least_docs: int = 10      # documents that make a field constant and a template recurring
+    least_docs: int = 10      # documents that make a token constant and a template recurring
     least_words: int = 3      # without a digit, in a line that two documents make recurring
     most_variable: int = 10   # per cent of such a line's tokens that may have a digit
-    constant_share: int = 60  # per cent of a template's tokens in constant fields, at least
+    constant_share: int = 60  # per cent of a template's tokens that are constant, at least
 
 
-def _lines(leading: int):
-    """Task: leaf and field hashes of each line that has a word."""
+def _lines(leading: int, leaves: np.ndarray | None = None):
+    """Task: leaf and hash of each line that has a word; with a filter of leaves, the tokens of the lines that pass."""
+    schema = LINES if leaves is None else TOKENS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, hashes, row = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(), 0
             null = np.array(batch.column(0).is_null())
             for data, bounds in groups(batch.column(2)):
-                out = _group(data, bounds, leading)
+                *out, at, h = _group(data, bounds, leading)
                 own = out[0] + row
                 row += len(bounds) - 1
+                if leaves is None:
+                    columns = [pa.array(c) for c in out[1:]]
+                else:
+                    slot = out[3].view(np.uint64) & np.uint64((1 << LEAF_BITS) - 1)
+                    passed = (leaves[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+                    own, n = own[passed], out[2][passed]
+                    ends = np.cumsum(n, dtype=np.int64)
+                    places = np.arange(ends[-1] if len(n) else 0) + np.repeat(at[passed] - ends + n, n)
+                    tokens = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)),
+                                                      pa.array(h[places].view(np.int64)))
+                    columns = [*(pa.array(c[passed]) for c in out[1:4]), tokens]
                 ids = pa.array(np.where(null[own], 0, keys[own]).astype(np.int64), mask=null[own])
-                yield pa.RecordBatch.from_arrays([ids, pa.array(hashes[own]), *map(pa.array, out[1:])], schema=LINES)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(hashes[own]), *columns], schema=schema)
     return run
 
 
 def _group(data: np.ndarray, bounds: np.ndarray, leading: int) -> list[np.ndarray]:
-    """Row, line, number of tokens, leaf, hash of the whole line, number of tokens without a digit and fields of the
-    lines with words of a group of texts."""
+    """Row, line, number of tokens, leaf, hash of the whole line, number of tokens without a digit and first token of
+    the lines with words of a group of texts; last, the hashes of all tokens."""
     inside = ~IS_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -68,7 +83,7 @@ def _group(data: np.ndarray, bounds: np.ndarray, leading: int) -> list[np.ndarra
     begins[first] |= inside[first]
     starts = np.flatnonzero(begins)
     if not len(starts):
-        return [np.zeros(0, t) for t in ("i8", "i4", "i4", "i8", "i8", "i4", *["i8"] * FIELDS)]
+        return [np.zeros(0, t) for t in ("i8", "i4", "i4", "i8", "i8", "i4", "i8", "u8")]
     h = segment_hashes(np.where(inside, LOWER[data].astype(np.uint64) + np.uint64(1), np.uint64(0)), starts)
     exact, digits = h, np.add.reduceat(DIGIT[data].astype(np.int32), starts) > 0
     h = np.where(digits, VARIABLE, h)
@@ -86,11 +101,8 @@ def _group(data: np.ndarray, bounds: np.ndarray, leading: int) -> list[np.ndarra
     place = np.arange(len(h)) - np.repeat(at, n)
     whole = mixed(np.add.reduceat(exact * PLACES[place % len(PLACES)], at) + n.astype(np.uint64))
     plain = np.add.reduceat((~digits).astype(np.int32), at)
-    summed = np.concatenate([[np.uint64(0)], np.cumsum(h * PLACES[place % len(PLACES)])])
-    cuts = [at + n * j // FIELDS for j in range(FIELDS + 1)]
-    fields = [mixed(summed[b] - summed[a]).view(np.int64) for a, b in zip(cuts, cuts[1:])]
     return [rows, line.astype(np.int32), n.astype(np.int32), leaf.view(np.int64), whole.view(np.int64),
-            plain.astype(np.int32), *fields]
+            plain.astype(np.int32), at, h]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -98,6 +110,16 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64(text)})
 
 
+def _leaf_filter(leaves: DataFrame) -> np.ndarray:
+    """A bit for each value of the last bits of a leaf; at most 2 ** (LEAF_BITS - 6) rows come to the driver."""
+    slot = F.col("leaf").bitwiseAND((1 << LEAF_BITS) - 1)
+    bits = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+    out = np.zeros(1 << (LEAF_BITS - 6), np.uint64)
+    for r in leaves.groupBy(F.floor(slot / 64).alias("word")).agg(F.bit_or(bits).alias("bits")).collect():
+        out[r["word"]] = np.uint64(r["bits"] & (2 ** 64 - 1))
+    return out
+
+
 def equal_lines(found: DataFrame, tree: Tree) -> DataFrame:
     """Lines that two documents hold word for word, but for the first: doc_id, text_hash, line, template."""
     few = (F.col("n") - F.col("plain")) * 100 <= F.col("n") * tree.most_variable
@@ -118,27 +140,26 @@ def recurring_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     All lines of recurring templates but the first by doc_id, text_hash and line, and all lines that two documents
     hold word for word but the first. A line that both rules drop has two rows.
     """
-    found = staged_texts(_keyed(docs).select("__id", "__hash", "text").mapInArrow(
-        _lines(tree.leading), ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'long'}" for f in LINES)),
-        "lines")
+    texts = _keyed(docs).select("__id", "__hash", "text")
+    found = staged_texts(texts.mapInArrow(_lines(tree.leading), LINES_DDL), "lines")
     leaves = staged(found.groupBy("leaf").agg(F.count("*").alias("lines")).filter(
         F.col("lines") >= tree.least_docs).select("leaf"), "leaves")
-    lines = staged(found.join(leaves, "leaf"), "lines-of-leaves")
-
-    def size(i: int) -> Column:
-        return F.floor(F.col("n") * (i + 1) / FIELDS) - F.floor(F.col("n") * i / FIELDS)
-
-    fields = lines.select(
-        "doc_id", "text_hash", "line", "leaf", "n", F.explode(F.array(*[F.struct(
-            F.lit(i).alias("i"), F.col(f"f{i}").alias("f"), size(i).alias("size")) for i in range(FIELDS)])).alias("x")
-    ).select("doc_id", "text_hash", "line", "leaf", "n", "x.*").filter("size > 0")
+    # tokens are written for lines of these leaves only
+    passing = staged_texts(texts.mapInArrow(_lines(tree.leading, _leaf_filter(leaves)), TOKENS_DDL), "tokens")
+    lines = staged(passing.join(leaves, "leaf").withColumn("form", F.xxhash64("tokens")), "lines-of-leaves")
+    # lines of the same tokens are one form, so that a very common line is looked up once
+    fields = lines.select("leaf", "form", "n", "tokens").distinct().select(
+        "leaf", "form", "n", F.posexplode("tokens").alias("place", "token"))
     document = F.xxhash64("doc_id", "text_hash").alias("document")
-    constant = staged(fields.select("leaf", "i", "f", document).distinct().groupBy("leaf", "i", "f").agg(
-        F.count("*").alias("docs")).filter(F.col("docs") >= tree.least_docs).select("leaf", "i", "f"), "constant")
-    shaped = staged(fields.join(constant, ["leaf", "i", "f"]).groupBy("doc_id", "text_hash", "line", "leaf", "n").agg(
-        F.sum("size").alias("constant"), F.bit_xor(F.xxhash64("i", "f")).alias("shape")).filter(
-        F.col("constant") * 100 >= F.col("n") * tree.constant_share).withColumn(
-        "template", F.xxhash64("leaf", "shape")), "shaped")
+    constant = staged(lines.select("leaf", document, "form", "tokens").distinct().select(
+        "leaf", "document", F.posexplode("tokens").alias("place", "token")).distinct().groupBy(
+        "leaf", "place", "token").agg(F.count("*").alias("docs")).filter(
+        F.col("docs") >= tree.least_docs).select("leaf", "place", "token"), "constant")
+    shapes = staged(fields.join(constant, ["leaf", "place", "token"]).groupBy("leaf", "form", "n").agg(
+        F.count("*").alias("constant"), F.bit_xor(F.xxhash64("place", "token")).alias("shape")).filter(
+        F.col("constant") * 100 >= F.col("n") * tree.constant_share).select(
+        "leaf", "form", F.xxhash64("leaf", "shape").alias("template")), "shapes")
+    shaped = staged(lines.select("doc_id", "text_hash", "line", "leaf", "form").join(shapes, ["leaf", "form"]), "shaped")
     often = shaped.select("leaf", "template", document).distinct().groupBy("leaf", "template").agg(
         F.count("*").alias("docs")).filter(F.col("docs") >= tree.least_docs)
     first = shaped.groupBy("leaf", "template").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("first"))

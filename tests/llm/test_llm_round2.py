@@ -53,3 +53,14 @@ def test_lines_that_two_documents_share_go(spark):
     # the first copy stays, whatever its case; short lines of numbers and lines of a single document stay
     want.update({11: "end of eleven", 13: ""})
     assert got == want
+
+
+def test_templates_with_single_variable_words(spark):
+    # 16 tokens, one variable word in each of four eighths: 12 are constant
+    rows = [(i, "dear reader your {0}a and the {0}b were sent by {0}c to our {0}d in good time".format("abcdefghijkl"[i]))
+            for i in range(12)]
+    long = "we thank you for " + " ".join(f"{'abcdefgh'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(60)).replace("e", "{0}")
+    rows += [(20 + i, long.format("ijklmnopqrst"[i])) for i in range(12)]
+    rows += [(40 + i, "too few words of this {0}a {0}b {0}c {0}d".format("abcdefghijkl"[i] * 3)) for i in range(12)]
+    got = {r.doc_id: r.n_dropped for r in templates.assess(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: int(i not in (0, 20) and i < 40) for i, _ in rows}
