@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import licences, mixing, near_dup, packing, passages, prefix_hash, quality, rans, templates, warc
+from salesloom.llm import licences, mixing, near_dup, packing, passages, prefix_hash, quality, rans, simhash, templates, warc
 from salesloom.llm.store import ship, table, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_passage_quality")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return passages.score(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
+
+
+@query("op13_simhash_near_dedup")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
