@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import licences, mixing, near_dup, packing, passages, prefix_hash, quality, rans, simhash, templates, warc
+from salesloom.llm import (
+    collocations, hard_negatives, licences, mixing, near_dup, packing, passages, prefix_hash, quality, rans, simhash,
+    templates, warc)
 from salesloom.llm.store import ship, table, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +121,45 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_simhash_near_dedup")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op12_hard_negatives", """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INT)
+    AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 3""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
+
+
+@query("op11_collocations", """
+WITH w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+t AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, k, count(*) AS f
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k))
+  GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2),
+d AS (SELECT DISTINCT s.lang, s.phrase FROM (SELECT lang, a, k, ws, m, unnest(range(1, k - m + 2)) AS i
+    FROM c, (SELECT unnest(range(2, 5)) AS m) WHERE m < k) q
+  JOIN c s ON s.lang = q.lang AND s.phrase = array_to_string(q.ws[q.i:q.i + q.m - 1], ' ') AND 100 * q.a >= 100 * s.a),
+s AS (SELECT c.lang, c.phrase, c.a, l.f AS l, r.f AS r, t.n,
+    CAST(CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score, c.j
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN t USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[j + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM s ANTI JOIN d USING (lang, phrase) QUALIFY rank <= 2000""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents").select("text", "lang"))
