@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from salesloom.catalog.bindings import Tables, items_of_sales, sales_of_events
 from salesloom.catalog.registry import query
+from salesloom.functions.measures import total
 from salesloom.operators import sketch
 from salesloom.plans import tables as t
 from salesloom.session import work_folder
@@ -199,23 +200,51 @@ def _(b): return streamed(b, "company_brands")
 def _(b): return streamed(b, "company_employees")
 
 
-# Result tables kept by the streams: five ledgers give ten tables.
-def kept(b: Tables, table: str, *ledgers: str) -> DataFrame:
-    root = work_folder(b.spark, "stream")
-    for name in ledgers:
-        flush = runner.BY_NAME[name].mode == "append"
-        with few_stores(b.spark):
-            runner.start(runner.BY_NAME[name], inputs(b, flush), root, once=True, **SLOT).awaitTermination()
-    return runner.result_tables(b.spark, root, b.products, b.employees)[table]()
+# Result tables kept by two streams, one over sales and one over items with their sales.
+def closed_inputs(b: Tables) -> runner.Inputs:
+    """The inputs with a last sale and a last item far in the future.
+
+    They let the stream join give out items without a sale. The item has no product and no brand, so no table takes it.
+    """
+    far = F.lit(datetime.datetime(2099, 1, 1)).cast("timestamp")
+
+    def closed(df: DataFrame, **values) -> DataFrame:
+        folder = work_folder(b.spark, "flush")
+        last = {"saleTime": far, "saleId": F.lit(-1), "productId": F.lit(None), **values}
+        b.spark.range(1).select(*[last.get(c, F.lit("" if kind == "string" else 0)).cast(kind).alias(c)
+                                  for c, kind in df.dtypes]).write.parquet(folder)
+        return df.unionByName(b.spark.readStream.schema(df.schema).parquet(folder))
+
+    plain = inputs(b, False)
+    return runner.Inputs(closed(plain.sales, saleStatus=F.lit("completed")), closed(plain.items), b.products, b.employees)
+
+
+def kept_root(b: Tables, *of: str) -> str:
+    root = work_folder(b.spark, "kept")
+    with few_stores(b.spark):
+        for name in of:
+            ins = closed_inputs(b) if name == "items" else inputs(b, False)
+            for stream in runner.start_kept(ins, root, True, [name], watermark=SLOT["watermark"], parts=2):
+                stream.awaitTermination()
+    return root
+
+
+def kept(b: Tables, table: str, of: str) -> DataFrame:
+    return runner.result_tables(b.spark, kept_root(b, of), b.products, b.employees)[table]()
+
+
+def close(estimate: str, exact: str):
+    """Whether a merged sketch lies within three standard errors (1.6 % each) of the exact count."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.col(exact) * 0.05
 
 
 @query("st01_sales_by_sector_kept", f"SELECT sector, {SALE} {DONE} GROUP BY sector")
-def _(b): return kept(b, "sales_by_sector", "company")
+def _(b): return kept(b, "sales_by_sector", "sales")
 
 
 @query("st02_sales_by_region_kept", f"""
 SELECT region, sector, CAST(sum(totalAmount) AS DOUBLE) AS revenue, count(*) AS salesCount {DONE} GROUP BY region, sector""")
-def _(b): return kept(b, "sales_by_region", "region")
+def _(b): return kept(b, "sales_by_region", "sales")
 
 
 KEPT_PRODUCTS = """
@@ -226,11 +255,11 @@ FROM v_ev_items i LEFT JOIN v_products p ON p.productId = i.productId GROUP BY A
 
 
 @query("st03_market_top_products_kept", KEPT_PRODUCTS.format(""))
-def _(b): return kept(b, "market_top_products", "company_products")
+def _(b): return kept(b, "market_top_products", "items")
 
 
 @query("st04_company_top_products_kept", KEPT_PRODUCTS.format("companyId,"))
-def _(b): return kept(b, "company_top_products", "company_products")
+def _(b): return kept(b, "company_top_products", "items")
 
 
 KEPT_BRANDS = f"""
@@ -241,32 +270,48 @@ FROM ({COMPANY_BRANDS}) GROUP BY companyId, sector, brand"""
 
 
 @query("st05_market_top_brands_kept", f"""
-SELECT sector, brand, sum(CAST(revenue AS DECIMAL(28,4)))::DOUBLE AS totalRevenue, max(quantity) AS maxQuantity
-FROM ({KEPT_BRANDS}) GROUP BY sector, brand""")
-def _(b): return kept(b, "market_top_brands", "company_brands")
+SELECT b.*, p.productCount, TRUE AS countIsClose
+FROM (SELECT sector, brand, sum(CAST(revenue AS DECIMAL(28,4)))::DOUBLE AS totalRevenue, max(quantity) AS maxQuantity
+      FROM ({KEPT_BRANDS}) GROUP BY sector, brand) b
+JOIN (SELECT i.sector, coalesce(p.brand, i.brand) AS brand, count(DISTINCT i.productId) AS productCount
+      FROM v_ev_items i JOIN v_ev_sales s ON s.saleId = i.saleId AND s.saleStatus = 'completed'
+      LEFT JOIN v_products p ON p.productId = i.productId WHERE i.brand <> '' GROUP BY ALL) p
+  ON p.sector = b.sector AND p.brand = b.brand""")
+def _(b):
+    """The sketch's count is compared with the exact one, which the row shows."""
+    exact = t.branded_items(b.ev_items, b.ev_sales, b.products).groupBy("sector", "brand").agg(
+        F.count_distinct("productId").alias("exact"))
+    rows = kept(b, "market_top_brands", "items").join(exact, ["sector", "brand"])
+    return rows.select("sector", "brand", "totalRevenue", "maxQuantity", F.col("exact").alias("productCount"),
+                       close("productCount", "exact").alias("countIsClose"))
 
 
 @query("st06_market_employee_performance_kept", f"""
 SELECT sector, six(CAST(sum(totalAmount) AS DOUBLE) / count(*)) AS avgSaleAmount, count(*) AS totalSales,
-       count(DISTINCT employeeId) AS totalEmployees {DONE} AND employeeId IS NOT NULL GROUP BY sector""")
-def _(b): return kept(b, "market_employee_performance", "company_employees")
+       count(DISTINCT employeeId) AS totalEmployees, TRUE AS countIsClose {DONE} AND employeeId IS NOT NULL GROUP BY sector""")
+def _(b):
+    exact = t.market_employee_performance(t.company_employees(b.ev_sales, b.employees)).select(
+        "sector", F.col("totalEmployees").alias("exact"))
+    rows = kept(b, "market_employee_performance", "sales").join(exact, "sector")
+    return rows.select("sector", "avgSaleAmount", "totalSales", F.col("exact").alias("totalEmployees"),
+                       close("totalEmployees", "exact").alias("countIsClose"))
 
 
 @query("st07_company_analytics_kept", f"SELECT companyId, sector, {SALE} {DONE} GROUP BY companyId, sector")
-def _(b): return kept(b, "company_analytics", "company")
+def _(b): return kept(b, "company_analytics", "sales")
 
 
 @query("st08_market_analytics_kept", f"""
 SELECT sector, CAST(sum(totalAmount) AS DOUBLE) AS marketRevenue, count(*) AS marketSalesCount,
        six(CAST(sum(totalAmount) AS DOUBLE) / count(*)) AS marketAvgSale, count(DISTINCT companyId) AS totalCompanies
 {DONE} GROUP BY sector""")
-def _(b): return kept(b, "market_analytics", "company")
+def _(b): return kept(b, "market_analytics", "sales")
 
 
 @query("st09_company_brands_kept", f"""
 SELECT * EXCLUDE (rank), CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER
   (PARTITION BY companyId, sector ORDER BY revenue DESC, brand) AS rank FROM ({KEPT_BRANDS})) WHERE rank <= 5""")
-def _(b): return kept(b, "company_brands", "company_brands")
+def _(b): return kept(b, "company_brands", "items")
 
 
 @query("st10_company_employees_kept", f"""
@@ -275,7 +320,41 @@ SELECT s.companyId, s.employeeId, min(sector) AS sector,
          THEN concat('Employee ', right(CAST(s.employeeId AS STRING), 4)) ELSE 'Unknown Employee' END) AS employeeName, {SALE}
 FROM v_ev_sales s LEFT JOIN v_employees e ON e.employeeId = s.employeeId
 WHERE saleStatus = 'completed' AND s.employeeId IS NOT NULL GROUP BY s.companyId, s.employeeId""")
-def _(b): return kept(b, "company_employees", "company_employees")
+def _(b): return kept(b, "company_employees", "sales")
+
+
+KEPT_PEOPLE = f"SELECT companyId, employeeId, sum(totalAmount) AS revenue {DONE} AND employeeId IS NOT NULL GROUP BY ALL"
+
+
+@query("s08_ten_tables", f"""
+WITH c AS (SELECT companyId, sector, sum(totalAmount) AS revenue {DONE} GROUP BY ALL),
+r AS (SELECT region, sector, sum(totalAmount) AS revenue {DONE} GROUP BY ALL),
+e AS ({KEPT_PEOPLE}),
+p AS (SELECT companyId, sector, productId, sum(subtotal) AS revenue FROM v_ev_items GROUP BY ALL),
+b AS ({KEPT_BRANDS}),
+five AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY companyId, sector ORDER BY revenue DESC, brand) <= 5)
+SELECT 'company_analytics' AS name, count(*) AS n, CAST(sum(revenue) AS DOUBLE) AS revenue FROM c
+UNION ALL SELECT 'market_analytics', count(DISTINCT sector), CAST(sum(revenue) AS DOUBLE) FROM c
+UNION ALL SELECT 'sales_by_sector', count(DISTINCT sector), CAST(sum(revenue) AS DOUBLE) FROM c
+UNION ALL SELECT 'sales_by_region', count(*), CAST(sum(revenue) AS DOUBLE) FROM r
+UNION ALL SELECT 'company_employees', count(*), CAST(sum(revenue) AS DOUBLE) FROM e
+UNION ALL SELECT 'market_employee_performance', count(DISTINCT sector), CAST(sum(totalAmount) AS DOUBLE) {DONE}
+  AND employeeId IS NOT NULL
+UNION ALL SELECT 'company_top_products', count(*), CAST(sum(revenue) AS DOUBLE) FROM p
+UNION ALL SELECT 'market_top_products', count(DISTINCT (sector, productId)), CAST(sum(revenue) AS DOUBLE) FROM p
+UNION ALL SELECT 'company_brands', count(*), CAST(sum(CAST(revenue AS DECIMAL(28,4))) AS DOUBLE) FROM five
+UNION ALL SELECT 'market_top_brands', count(DISTINCT (sector, brand)), CAST(sum(CAST(revenue AS DECIMAL(28,4))) AS DOUBLE) FROM b""")
+def _(b):
+    """All ten tables from two streams: rows and revenue of each."""
+    found = runner.result_tables(b.spark, kept_root(b, "sales", "items"), b.products, b.employees)
+    money = {"market_analytics": "marketRevenue", "market_employee_performance": F.col("avgSaleAmount") * F.col("totalSales"),
+             **dict.fromkeys(("company_top_products", "market_top_products", "market_top_brands"), "totalRevenue")}
+    out = None
+    for name, table in found.items():
+        row = table().agg(F.count("*").alias("n"), total(money.get(name, "revenue")).alias("revenue")).select(
+            F.lit(name).alias("name"), "n", "revenue")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 # Ledger, de-duplication, join and sketch.

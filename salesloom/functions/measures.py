@@ -10,13 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,4)"
+EXACT = "decimal(28,4)"  # sums that are stored or added up again
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def total(c: str | Column) -> Column:
+def _summed(c: str | Column) -> Column:
     """Exact sum of amounts with up to four decimals.
 
     Whole units and ten-thousandths are added as two BIGINTs, which stay in the generated code of the
@@ -25,7 +26,22 @@ def total(c: str | Column) -> Column:
     amount = _col(c).cast("double")
     whole = F.floor(amount)
     parts = F.sum(F.floor((amount - whole) * 10000 + 0.5)).cast("decimal(20,0)")
-    return ((F.sum(whole).cast("decimal(20,0)") * 10000 + parts) / 10000).cast("double")
+    return (F.sum(whole).cast("decimal(20,0)") * 10000 + parts) / 10000
+
+
+def total(c: str | Column) -> Column:
+    """Exact sum, as a double at the end."""
+    return _summed(c).cast("double")
+
+
+def exact_total(c: str | Column) -> Column:
+    """Exact sum as DECIMAL(28,4), for tables that are stored or added up again."""
+    return _summed(c).cast(EXACT)
+
+
+def total_again(c: str | Column) -> Column:
+    """Exact sum of amounts that are sums already: stored DECIMALs, or doubles with the digits they print."""
+    return F.sum(_col(c).cast(EXACT)).cast(EXACT)
 
 
 def mean(c: str | Column) -> Column:

@@ -1,20 +1,19 @@
-"""Starting and running the windowed streams, and reading their result tables."""
+"""Starting the windowed streams, and keeping the result tables by one stream for each source."""
 
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from salesloom.functions.measures import ratio
-from salesloom.operators.joins import name_employees, name_products
-from salesloom.plans import tables
 from salesloom.session import work_folder
+from salesloom.streaming import changes
 from salesloom.streaming import windowed as w
-from salesloom.streaming.ledger import Columns, live_table, write_batch
+from salesloom.streaming.changes import result_tables  # noqa: F401
+from salesloom.streaming.kept import PARTS, stamp  # noqa: F401
+from salesloom.streaming.ledger import Columns, write_batch
 
 
 @dataclasses.dataclass(frozen=True)
@@ -76,64 +75,35 @@ def start(spec: QuerySpec, inputs: Inputs, root: str, once: bool = False, **opti
             .start())
 
 
-def start_all(inputs: Inputs, root: str, names: Sequence[str] | None = None, once: bool = False,
-              **options: str) -> list[StreamingQuery]:
-    return [start(BY_NAME[n], inputs, root, once, **options) for n in names or BY_NAME]
+def start_kept(inputs: Inputs, root: str, once: bool = False, of: Sequence[str] = ("sales", "items"),
+               bound: str = w.TWO_MINUTES, watermark: str = w.TWO_MINUTES, parts: int = PARTS) -> list[StreamingQuery]:
+    """The streams behind the ten result tables: one over sales, one over items joined with sales.
+
+    Each batch is fanned out to the tables of its stream. A batch that fails is run again under its number.
+    """
+    joined = changes.items_with_company(inputs.items, inputs.sales, bound, watermark) if "items" in of else None
+    kinds = {
+        "sales": (inputs.sales, "10 seconds", lambda df, n: changes.keep_sales(df, n, root, parts)),
+        "items": (joined, "1 minute", lambda df, n: changes.keep_items(df, n, root, inputs.products, parts)),
+    }
+    running = []
+    for name in of:
+        df, trigger, keep = kinds[name]
+        keep(df.sparkSession.createDataFrame([], df.schema), -1)  # empty tables, until the first batch
+        running.append(
+            df.writeStream.queryName(f"keep-{name}-{root.rsplit('/', 1)[-1]}").outputMode("append")
+            .option("checkpointLocation", f"{root}/checkpoints/{name}")
+            .trigger(**({"availableNow": True} if once else {"processingTime": trigger})).foreachBatch(keep).start())
+    return running
 
 
 def run_all(spark: SparkSession, inputs: Inputs, root: str | None = None) -> str:
-    """Run all streams until one of them ends, then stop the others; errors are raised."""
-    root = root or work_folder(spark, "ledgers")
-    running = start_all(inputs, root)
+    """Keep all result tables until one of the streams ends, then stop the other; errors are raised."""
+    root = root or work_folder(spark, "tables")
+    running = start_kept(inputs, root)
     try:
         spark.streams.awaitAnyTermination()
     finally:
         for q in running:
             q.stop()
     return root
-
-
-def result_tables(spark: SparkSession, root: str, products: DataFrame | None = None,
-                  employees: DataFrame | None = None) -> Mapping[str, Callable[[], DataFrame]]:
-    """The ten result tables. Market tables follow from their company tables, never from a second copy."""
-
-    def table(name: str, keys: Sequence[str] | None = None) -> DataFrame:
-        return live_table(spark, f"{root}/{name}", BY_NAME[name].columns, keys)
-
-    def company() -> DataFrame:
-        return table("company").withColumn("avgSaleAmount", ratio(F.col("revenue"), F.col("salesCount")))
-
-    def company_products() -> DataFrame:
-        rows = table("company_products").withColumn(
-            "avgPrice", ratio(F.col("totalRevenue"), F.col("totalQuantity")))
-        return name_products(rows, products, "productName").select(
-            "companyId", "sector", "productId", "productName", "brand", "totalRevenue", "totalQuantity", "avgPrice")
-
-    def brands() -> DataFrame:
-        return table("company_brands").select(
-            "companyId", "sector", "brand", "revenue", "quantity",
-            F.try_divide("listWorth", "pricedQuantity").alias("avgPrice"))
-
-    def company_employees() -> DataFrame:
-        rows = table("company_employees", ["companyId", "employeeId"]).withColumn(
-            "avgSaleAmount", ratio(F.col("revenue"), F.col("salesCount")))
-        return name_employees(rows, employees, "employeeName").select(
-            "companyId", "employeeId", "sector", "employeeName", "revenue", "salesCount", "avgSaleAmount")
-
-    return {
-        "company_analytics": company,
-        "market_analytics": lambda: tables.market_analytics(company()),
-        "sales_by_sector": lambda: tables.sales_by_sector(tables.market_analytics(company())),
-        "sales_by_region": lambda: table("region"),
-        "company_top_products": company_products,
-        "market_top_products": lambda: tables.market_top_products(company_products()),
-        "company_brands": lambda: tables.company_brands(brands()),
-        "market_top_brands": lambda: tables.market_top_brands(brands()),
-        "company_employees": company_employees,
-        "market_employee_performance": lambda: tables.market_employee_performance(company_employees()),
-    }
-
-
-def stamp(df: DataFrame, batch_id: int) -> DataFrame:
-    """Time and batch of an update, for stored copies of a result table."""
-    return df.withColumn("updatedAt", F.current_timestamp()).withColumn("window", F.lit(f"batch_{batch_id}"))

@@ -119,21 +119,24 @@ def market_employee_windows(sales: DataFrame, window: str = MINUTE, watermark: s
 
 
 def join_items_sales(items: DataFrame, sales: DataFrame, bound: str = TWO_MINUTES,
-                     watermark: str = TWO_MINUTES, salts: int = 4) -> DataFrame:
-    """Branded items with the completed sale they belong to, under the company of the sale.
+                     watermark: str = TWO_MINUTES, salts: int = 4, how: str = "inner") -> DataFrame:
+    """Items with the completed sale they belong to: branded ones under the company of the sale, or (``how="left"``)
+    all of them with that company as ``headCompany``, null where there is none.
 
     Both sides have a watermark and the times must lie within ``bound`` of each other, so old state is
     dropped. Streams have no run-time skew handling: the lines of one sale are spread over ``salts``
     keys, and the (small) sale row is repeated for each.
     """
-    lines = _timed(with_brand(with_sector(items)), watermark)
-    lines = lines.drop("companyId").withColumn("salt", F.pmod(F.xxhash64("productId", "quantity", "price"), salts))
+    inner = how == "inner"
+    lines = _timed(with_brand(with_sector(items)).drop("companyId") if inner else items, watermark)
+    lines = lines.withColumn("salt", F.pmod(F.xxhash64("productId", "quantity", "price"), salts))
     heads = _timed(completed(sales), watermark).select(
-        F.col("saleId").alias("headId"), F.col("saleTime").alias("headTime"), "companyId",
+        F.col("saleId").alias("headId"), F.col("saleTime").alias("headTime"),
+        F.col("companyId").alias("companyId" if inner else "headCompany"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("headSalt"))
     near = F.expr(f"saleTime >= headTime - INTERVAL {bound} AND saleTime <= headTime + INTERVAL {bound}")
     same = (F.col("saleId") == F.col("headId")) & (F.col("salt") == F.col("headSalt"))
-    return lines.join(heads, same & near).drop("headId", "headTime", "headSalt", "salt")
+    return lines.join(heads, same & near, how).drop("headId", "headTime", "headSalt", "salt")
 
 
 def company_brand_windows(items: DataFrame, sales: DataFrame, products: DataFrame | None, window: str = MINUTE,
