@@ -438,3 +438,11 @@ def _(b):
 
 @query("s07_cms_top_k", f"{ESTIMATES} ORDER BY estimate DESC, c.productId LIMIT 20")
 def _(b): return sketch.cms_top_k(sketch.cms_build(b.items, "productId", 1000, 5), b.items, "productId", 20, 1000, 5)
+
+
+@query("s07_heavy_hitters", """
+SELECT companyId, CAST(n AS BIGINT) AS estimate FROM (SELECT companyId, count(*) AS n FROM v_ev_items GROUP BY companyId)
+WHERE n * 11 > (SELECT count(*) FROM v_ev_items)""")
+def _(b):
+    """Companies with more than an eleventh of all items; the sketch is wide enough to count eleven keys exactly."""
+    return sketch.heavy_hitters(b.ev_items, "companyId", 11)

@@ -15,6 +15,8 @@ from salesloom.operators.topk import top
 
 # Default size.
 WIDTH, DEPTH = 27284, 5
+TRACKED, MOST_TRACKED = 1 << 16, 1 << 20  # counters of a frequent-items summary
+BRANCHES = 64  # summaries are merged within so many branches first
 DEEPEST = 8  # one SHA-256 digest holds eight 32-bit hashes
 
 
@@ -52,7 +54,34 @@ def cms_estimate(sketch: DataFrame, keys: DataFrame, item: str, width: int = WID
         F.min(F.coalesce("count", F.lit(0))).alias("estimate"))
 
 
-def cms_top_k(sketch: DataFrame, keys: DataFrame, item: str, k: int = 10, width: int = WIDTH,
-              depth: int = DEPTH) -> DataFrame:
-    """Heavy hitters among the given keys."""
-    return top(cms_estimate(sketch, keys, item, width, depth), ["-estimate", item], k)
+def candidates(df: DataFrame, item: str, tracked: int = TRACKED) -> DataFrame:
+    """Items that may be frequent, found without a list of all keys.
+
+    Every task keeps a frequent-items summary of at most ``tracked`` counters. Summaries are merged in two steps, so no
+    task merges those of all others. An item of more than 8 n / tracked of n rows is always among the result.
+    """
+    rows = df.filter(F.col(item).isNotNull()).select(F.col(item).alias("item"))
+    summaries = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(BRANCHES)).alias("branch")).agg(
+        F.expr(f"approx_top_k_accumulate(item, {tracked})").alias("summary"))
+    whole = summaries.groupBy(F.lit("all").alias("branch")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {tracked}), {tracked})").alias("top"))
+    return whole.select(F.explode("top").alias("top")).select(F.col("top.item").alias(item)).filter(F.col(item).isNotNull())
+
+
+def cms_top_k(sketch: DataFrame, rows: DataFrame, item: str, k: int = 10, width: int = WIDTH,
+              depth: int = DEPTH, tracked: int = TRACKED) -> DataFrame:
+    """The k items of the largest estimates among the candidates of the rows."""
+    return top(cms_estimate(sketch, candidates(rows, item, tracked), item, width, depth), ["-estimate", item], k)
+
+
+def heavy_hitters(df: DataFrame, item: str, k: int, width: int = WIDTH, depth: int = DEPTH) -> DataFrame:
+    """item and estimate of the items with more than 1/k of all rows that have one.
+
+    None is missed; an estimate is never too low, so an item just below may be among them.
+    """
+    tracked = 1 << max(10, (8 * k).bit_length())
+    if tracked > MOST_TRACKED:
+        raise ValueError(f"k must be below {MOST_TRACKED // 16}")
+    sketch = cms_build(df, item, width, depth)
+    rows = sketch.filter("row = 0").agg(F.sum("count").alias("n"))
+    found = cms_estimate(sketch, candidates(df, item, tracked), item, width, depth)
+    return found.join(rows, found["estimate"] * k > rows["n"]).drop("n")  # one row on that side
