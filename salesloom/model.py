@@ -64,3 +64,6 @@ RESULT_KEYS = {
     "sales_by_sector": ["sector"],
     "sales_by_region": ["region", "sector"],
 }
+
+# Stored facts are partitioned by the day of their time; a time range then skips the other days' files.
+DAY = "saleDay"

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesloom import model
 from salesloom.functions import buckets
 
 
@@ -42,8 +43,25 @@ def _moment(value: Any) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
+def day_range(df: DataFrame, start: Any = None, end: Any = None) -> DataFrame:
+    """The days that a time range touches, of facts stored by day; others stay as they are.
+
+    The condition reaches the scan as a partition filter, also where the moment is a scalar subquery. Items of a range
+    of sales are cut alike: they are stored under the day of their sale.
+    """
+    if model.DAY not in df.columns:
+        return df
+    if start is not None:
+        df = df.filter(F.col(model.DAY) >= F.to_date(_moment(start)))
+    if end is not None:
+        df = df.filter(F.col(model.DAY) <= F.to_date(_moment(end)))
+    return df
+
+
 def date_range(df: DataFrame, time: str, start: Any = None, end: Any = None) -> DataFrame:
     """Inclusive on both sides."""
+    if time == "saleTime":
+        df = day_range(df, start, end)
     if start is not None:
         df = df.filter(F.col(time) >= _moment(start))
     if end is not None:
@@ -100,14 +118,16 @@ def filter_products(products: DataFrame, min_price: float | None = None, max_pri
 
 
 def newest(df: DataFrame, time: str = "saleTime") -> Column:
-    """Latest time as a scalar subquery: parquet answers it from a one-column scan."""
+    """Latest time as a scalar subquery: parquet answers it from a one-column scan, of the last day if days are stored."""
+    if time == "saleTime" and model.DAY in df.columns:
+        df = df.filter(F.col(model.DAY) == df.agg(F.max(model.DAY)).scalar())
     return df.agg(F.max(time)).scalar()
 
 
 def last_minutes(df: DataFrame, minutes: int, as_of: Any = None, time: str = "saleTime") -> DataFrame:
     """Rows of the last ``minutes`` before ``as_of``, which defaults to the newest row."""
     moment = newest(df, time) if as_of is None else _moment(as_of)
-    return df.filter(F.col(time) >= moment - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    return date_range(df, time, moment - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
 
 
 def lookback(df: DataFrame, period: str, as_of: Any = None, time: str = "saleTime") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions import buckets, names
 from salesloom.functions.measures import or_zero, ratio, sales_measures, total
-from salesloom.operators.filters import ALL, Filters, apply_filters, equal_to, has_employee
+from salesloom.operators.filters import ALL, Filters, apply_filters, day_range, equal_to, has_employee
 from salesloom.operators.joins import (items_of_matching_sales, items_with_category, items_with_product,
                                        items_with_sale, lookup)
 from salesloom.operators.topk import top, top_per_group
@@ -119,7 +119,7 @@ def sales_trends(sales: DataFrame, period: str = "day", f: Filters = ALL) -> Dat
 # Breakdowns of items.
 def _sold(items: DataFrame, sales: DataFrame, f: Filters) -> DataFrame:
     """Items of the selected sales; only the columns the filters name are read from the sales."""
-    return items_of_matching_sales(items, apply_filters(sales, f))
+    return items_of_matching_sales(day_range(items, f.start, f.end), apply_filters(sales, f))
 
 
 def top_products(items: DataFrame, sales: DataFrame, products: DataFrame, f: Filters = ALL,

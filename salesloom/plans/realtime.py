@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions import buckets
 from salesloom.functions.measures import or_zero, sales_measures, total
-from salesloom.operators.filters import ALL, Filters, apply_filters, last_minutes, newest
+from salesloom.operators.filters import ALL, Filters, apply_filters, day_range, last_minutes, newest
 from salesloom.operators.joins import items_of_matching_sales, items_with_product, lookup
 from salesloom.operators.topk import top
 from salesloom.plans.dashboard import sales_by_type
@@ -51,6 +51,8 @@ def rt_sales_rate(sales: DataFrame, minutes: int = 10, as_of: Any = None, f: Fil
 
 def rt_top_products(items: DataFrame, sales: DataFrame, products: DataFrame, minutes: int = 5,
                     as_of: Any = None, f: Filters = ALL, k: int = 10) -> DataFrame:
+    moment = newest(sales) if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+    items = day_range(items, moment - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
     sold = items_of_matching_sales(items, _recent(sales, minutes, as_of, f))
     sums = sold.groupBy("productId").agg(F.sum("quantity").alias("totalQuantity"),
                                          total("subtotal").alias("totalRevenue"))
