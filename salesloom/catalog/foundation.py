@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom import model
-from salesloom.catalog.bindings import Tables
+from salesloom.catalog.bindings import Tables, unknown
 from salesloom.catalog.registry import query
 from salesloom.functions import measures as m
 from salesloom.functions import names
@@ -22,6 +22,7 @@ from salesloom.operators.merge import merge_keyed
 from salesloom.session import work_folder
 from salesloom.sources import events as ev
 from salesloom.sources import streams
+from salesloom.sources import tables as stored
 from salesloom.streaming import windowed as w
 from salesloom.streaming.ledger import merge_additive, write_batch
 
@@ -95,16 +96,19 @@ def _(b):
         "_id", "totalAmount", "companyId", "region", "sector", "saleStatus", "eventType")
 
 
+def stored_dimension(df: DataFrame, key: str) -> str:
+    """The dimension as it is stored, under the key ``_id``; its folder."""
+    folder = work_folder(df.sparkSession, "dimension")
+    df.withColumnRenamed(key, "_id").write.parquet(folder)
+    return folder
+
+
 @query("src04_products", "SELECT CAST(productId AS STRING) AS productId, productName, brand, productPrice, categoryId FROM v_products")
-def _(b):
-    return b.products.select(F.col("productId").cast("string").alias("productId"), "productName", "brand",
-                             "productPrice", "categoryId")
+def _(b): return stored.load_products(b.spark, stored_dimension(b.products, "productId"))
 
 
 @query("src05_employees", "SELECT CAST(employeeId AS STRING) AS employeeId, employeeName, companyId, position FROM v_employees")
-def _(b):
-    return b.employees.select(F.col("employeeId").cast("string").alias("employeeId"), "employeeName", "companyId",
-                              "position")
+def _(b): return stored.load_employees(b.spark, stored_dimension(b.employees, "employeeId"))
 
 
 @query("src06_missing_dimension", """
@@ -518,8 +522,8 @@ def product_changes(b: Tables) -> tuple[DataFrame, DataFrame]:
     """Two changes per part: the price, then the brand. A third has only a barcode, every 17th no key."""
     base = b.products.select("productId", "productName", "productPrice", "brand", "sku", F.when(
         F.col("productId") % 2 == 0, F.concat(F.lit("BC"), F.col("productId").cast("string"))).alias("barcode"))
-    key, keyed = F.col("p_partkey"), F.col("p_partkey") % 17 != 0
-    part = b.read("part").select("p_partkey", "p_retailprice", F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
+    key, keyed = F.col("key"), F.col("key") % 17 != 0
+    part = b.read("part").select(unknown(F.col("p_partkey"), 40).alias("key"), "p_retailprice", F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
     return base, part.select(
         (key * 2 + F.col("step")).alias("seq"),
         F.when(keyed & (key % 3 != 0), F.concat(F.lit("SKU"), key.cast("string"))).alias("sku"),
@@ -531,7 +535,8 @@ def product_changes(b: Tables) -> tuple[DataFrame, DataFrame]:
 @query("i07_merge_products", """
 WITH base AS (SELECT productId, productName, productPrice, brand, sku,
                      CASE WHEN productId % 2 = 0 THEN 'BC' || productId END AS barcode FROM v_products),
-parts AS (SELECT p_partkey AS k, p_retailprice + 1 AS price, p_partkey % 40 <> 0 AS stored FROM part),
+parts AS (SELECT CASE WHEN p_partkey % 40 = 0 THEN -p_partkey ELSE p_partkey END AS k, p_retailprice + 1 AS price,
+                 p_partkey % 40 <> 0 AS stored FROM part),
 hit AS (SELECT k, price FROM parts WHERE stored AND k % 17 <> 0 AND (k % 3 <> 0 OR k % 2 = 0))
 SELECT CAST(b.productId AS STRING) AS productId, b.productName, coalesce(h.price, b.productPrice) AS productPrice,
        CASE WHEN h.k IS NULL THEN b.brand ELSE 'Brand#New' END AS brand, b.sku, b.barcode,
@@ -550,6 +555,32 @@ def _(b):
     return merge_keyed(base, changes, "productId", ["sku", "barcode"])
 
 
+@query("i07_merge_in_order", """
+WITH p AS (SELECT p_partkey AS k, p_partkey % 3 AS kind FROM part)
+SELECT 'old' || k AS id, 'old' || k AS sku, 'N' || k AS barcode, 1::BIGINT AS price, 'updated' AS action FROM p WHERE kind = 1
+UNION ALL SELECT 'old' || k, 'old' || k, 'B' || k, 3, 'updated' FROM p WHERE kind = 2
+UNION ALL SELECT substr(md5('barcode:B' || k), 1, 24), NULL, 'B' || k, 3, 'created' FROM p WHERE kind < 2
+UNION ALL SELECT substr(md5('sku:S' || k), 1, 24), 'S' || k, 'B' || k, 2, 'created' FROM p WHERE kind = 0""")
+def _(b):
+    """Three changes of each part's barcode, by its number modulo 3.
+
+    0: asked for before a new sku takes it (two rows, and the first keeps the barcode's later changes). 1: the stored
+    row moves on to another barcode, so that the next change makes a row. 2: always the stored row.
+    """
+    key, kind, step = F.col("p_partkey"), F.col("p_partkey") % 3, F.col("step")
+    text = lambda prefix: F.concat(F.lit(prefix), key.cast("string"))
+    part = b.read("part").select("p_partkey")
+    base = part.filter(kind > 0).select(text("old").alias("id"), text("old").alias("sku"), text("B").alias("barcode"),
+                                        F.lit(0).cast("bigint").alias("price"))
+    rows = part.withColumn("step", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    changes = rows.select(
+        (key * 3 + step).alias("seq"),
+        F.when((kind == 0) & (step == 2), text("S")).when((kind == 1) & (step == 2), text("old")).alias("sku"),
+        F.when((kind == 1) & (step == 2), text("N")).otherwise(text("B")).alias("barcode"),
+        F.when((kind != 1) | (step != 2), step.cast("bigint")).alias("price"))
+    return merge_keyed(base, changes, "id", ["sku", "barcode"])
+
+
 @query("i08_merge_clients", """
 WITH c AS (SELECT c_custkey AS k, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey)
 SELECT CAST(k AS STRING) AS clientId, CASE WHEN k % 4 = 0 THEN 'Renamed ' || k ELSE c_name END AS clientName,
@@ -577,19 +608,20 @@ def _(b):
 
 @query("i09_merge_employees", """
 SELECT CAST(employeeId AS STRING) AS employeeId, employeeName, employeeName || '@x.com' AS employeeEmail,
-       CASE WHEN employeeId % 2 = 0 THEN 'Manager' ELSE position END AS position,
-       CASE WHEN employeeId % 2 = 0 THEN 'updated' ELSE 'unchanged' END AS action FROM v_employees
+       CASE WHEN employeeId % 2 = 0 AND employeeId % 30 <> 0 THEN 'Manager' ELSE position END AS position,
+       CASE WHEN employeeId % 2 = 0 AND employeeId % 30 <> 0 THEN 'updated' ELSE 'unchanged' END AS action FROM v_employees
 UNION ALL
-SELECT substr(md5('employeeEmail:' || c_name || '@x.com'), 1, 24), NULL, c_name || '@x.com', 'Manager', 'created'
+SELECT substr(md5('employeeEmail:' || c_name || '@new.com'), 1, 24), NULL, c_name || '@new.com', 'Manager', 'created'
 FROM customer WHERE c_custkey % 30 = 0""")
 def _(b):
-    """By email. Each change comes three times, the last one counts."""
+    """By email. Each change comes three times, the last one counts; every 15th of them is of a new employee."""
     base = b.employees.select("employeeId", "employeeName", F.concat("employeeName", F.lit("@x.com")).alias("employeeEmail"),
                               "position")
     step = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("step")
     rows = b.read("customer").filter(F.col("c_custkey") % 2 == 0).select("c_custkey", "c_name", step)
     changes = rows.select((F.col("c_custkey") * 3 + F.col("step")).alias("seq"),
-                          F.concat("c_name", F.lit("@x.com")).alias("employeeEmail"),
+                          F.concat("c_name", F.when(F.col("c_custkey") % 30 == 0, "@new.com").otherwise("@x.com"))
+                          .alias("employeeEmail"),
                           F.when(F.col("step") == 2, "Manager").otherwise("Clerk").alias("position"))
     return merge_keyed(base, changes, "employeeId", ["employeeEmail"])
 
