@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from salesloom.catalog.registry import query
+from salesloom.plans import cells
 from salesloom.plans import compare as c
 from salesloom.plans import problems as p
 from salesloom.plans import rootcause as rc
 from salesloom.plans import tables as t
-from salesloom.session import staged
 from salesloom.catalog.bindings import shop_sql
-from salesloom.functions.measures import total
-from salesloom.operators.filters import completed
-from salesloom.operators.joins import items_with_sale
 
 
 def pair(b):
@@ -69,8 +66,9 @@ market AS (SELECT sector, coalesce(productName, CAST(productId AS STRING)) AS pr
                   totalRevenue AS marketRevenue FROM t_market_products),
 companies AS (SELECT companyId, sector, CAST(sum(CAST(companyRevenue AS DECIMAL(28,4))) AS DOUBLE) AS companyTotal
               FROM own GROUP BY companyId, sector),
-markets AS (SELECT sector, CAST(sum(CAST(marketRevenue AS DECIMAL(28,4))) AS DOUBLE) AS marketTotal
-            FROM market GROUP BY sector),
+markets AS (SELECT m.sector, coalesce(nullif(any_value(t.marketRevenue), 0),
+                     CAST(sum(CAST(m.marketRevenue AS DECIMAL(28,4))) AS DOUBLE)) AS marketTotal
+            FROM market m LEFT JOIN t_market t ON t.sector = m.sector GROUP BY m.sector),
 every AS (SELECT c.companyId, c.sector, m.productName, m.marketRevenue, coalesce(o.companyRevenue, 0) AS companyRevenue,
                  c.companyTotal, t.marketTotal,
                  row_number() OVER (PARTITION BY c.companyId, c.sector
@@ -82,8 +80,9 @@ SELECT companyId, sector, CAST(rank AS INT) AS rank, productName, marketRevenue,
        six(companyRevenue / companyTotal * 100) AS companyPercentage
 FROM every WHERE rank <= 10""")
 def _(b):
-    company = staged(t.company_top_products(b.placed_items, b.products), "products")
-    return c.compare_products(company, staged(t.market_top_products(company), "market"))
+    sold = cells.item_cells(b.items, b.sales, ["productId"])
+    company = cells.company_products(sold, b.products)
+    return c.compare_products(company, cells.market_products(sold, b.products), market_revenue=pair(b)[1])
 
 
 @query("p01_company_gaps", """
@@ -115,6 +114,20 @@ def problems(b, kind=None):
 def _(b): return problems(b, "low_revenue")
 
 
+@query("p02_advice", """
+WITH named AS (SELECT companyId, sector, string_agg(name, ', ' ORDER BY r) AS names FROM (
+  SELECT companyId, sector, coalesce(productName, 'Unknown') AS name, row_number() OVER (
+    PARTITION BY companyId, sector ORDER BY totalRevenue DESC, coalesce(productName, 'Unknown')) AS r FROM t_company_products)
+  WHERE r <= 3 GROUP BY companyId, sector)
+SELECT g.companyId, g.sector, 'Focus on promoting top products: ' || names || '. Consider increasing inventory for these high-performing items and running targeted promotions.' AS recommendation
+FROM t_gaps g JOIN named n ON n.companyId = g.companyId AND n.sector = g.sector WHERE hasRevenueProblem""")
+def _(b):
+    """The advice of a revenue problem with the best selling products."""
+    sellers = p.best_sellers(cells.company_products(cells.item_cells(b.items, b.sales, ["productId"]), b.products))
+    rows = p.detect_problems(*pair(b), sellers=sellers)
+    return rows.filter(rows["type"] == "low_revenue").select("companyId", "sector", "recommendation")
+
+
 @query("p03_low_avg_sale", P3)
 def _(b): return problems(b, "low_avg_sale")
 
@@ -191,34 +204,27 @@ SELECT sector, region, 'low_region_performance' AS type, 'high' AS severity, rev
 def _(b): return p.detect_region_problems(b.ev_sales).drop("description", "recommendation")
 
 
-# Root causes.
+# Root causes. All tables of items are rolled up from the same cells.
+def item_cells(b):
+    return cells.item_cells(b.items, b.sales)
+
+
 def brands(b):
-    return t.company_brands_all(t.branded_items(b.placed_items, b.sales, b.products))
+    return cells.company_brands(item_cells(b), b.products)
 
 
 def causes(b):
-    """Base and causes. The facts are passed over once per result table; the rules read the stored tables."""
-    company = staged(t.company_analytics(b.sales), "company")
-    market = t.market_analytics(company)
+    """Base and causes."""
+    company, market = pair(b)
     base = rc.gaps(company, market)
-    all_brands = staged(brands(b), "brands")
-    people = staged(t.company_employees(b.sales, b.employees), "employees")
+    all_brands = brands(b)
+    people = t.company_employees(b.sales, b.employees)
     per_employee = rc.employee_market_avg(market, t.market_employee_performance(people))
-    own = staged(company_categories(b), "categories")
+    own = cells.company_categories(item_cells(b))
     return base, rc.all_causes(
         rc.root_cause_revenue(base), rc.root_cause_brand(base, all_brands, t.market_top_brands(all_brands)),
         rc.root_cause_price(base), rc.root_cause_employee(base, people, per_employee),
-        rc.root_cause_category(base, own, market_categories(own)))
-
-
-def company_categories(b):
-    rows = items_with_sale(b.items, completed(b.sales), ["companyId", "sector"])
-    return rows.groupBy("companyId", "sector", rows["categoryId"].alias("category")).agg(
-        total("subtotal").alias("revenue"))
-
-
-def market_categories(own):
-    return own.groupBy("sector", "category").agg(total("revenue").alias("revenue"))
+        rc.root_cause_category(base, own, cells.market_categories(own)))
 
 
 BRANDS_SQL = """
@@ -376,8 +382,8 @@ category_cause AS (SELECT companyId, sector, 'product_category' AS type,
 
 @query("rc07_root_cause_category", f"WITH {CATEGORY_CAUSE} SELECT * FROM category_cause")
 def _(b):
-    own = company_categories(b)
-    return rc.root_cause_category(rc.gaps(*pair(b)), own, market_categories(own)).drop("description", "recommendation")
+    own = cells.company_categories(item_cells(b))
+    return rc.root_cause_category(rc.gaps(*pair(b)), own, cells.market_categories(own)).drop("description", "recommendation")
 
 
 CAUSES_SQL = f"""

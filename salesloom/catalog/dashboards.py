@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from salesloom.catalog.registry import query
 from salesloom.operators.filters import Filters
+from salesloom.plans import cells
 from salesloom.plans import dashboard as d
 from salesloom.plans import realtime as r
 from salesloom.plans import tables as t
@@ -267,8 +268,7 @@ def _(b): return t.company_top_products(b.placed_items, b.products)
 
 @query("ru5_market_top_brands", "SELECT * FROM t_market_brands")
 def _(b):
-    branded = t.branded_items(b.placed_items, b.sales, b.products)
-    return t.market_top_brands(t.company_brands_all(branded), branded)
+    return cells.market_brands(cells.item_cells(b.items, b.sales), b.products)
 
 
 @query("ru6_market_employee_performance", """

@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 LOW_REVENUE = "Revenue is %.1f%% below market average ($%s vs $%s)"
 LOW_REVENUE_ADVICE = ("Investigate pricing strategy, product mix, and marketing campaigns. "
                       "Compare with top-performing companies in your sector.")
+LOW_REVENUE_PRODUCTS = ("Focus on promoting top products: %s. Consider increasing inventory for these "
+                        "high-performing items and running targeted promotions.")
+LOW_REVENUE_BRANDS = ("Focus on top brands: %s. Increase marketing for these brands and ensure adequate stock "
+                      "levels.")
 LOW_AVG_SALE = "Average sale amount is %.1f%% lower than market ($%.2f vs $%.2f)"
 LOW_AVG_SALE_ADVICE = ("Your average sale is $%.2f compared to market average of $%.2f. Consider upselling "
                        "strategies, product bundling, and training staff on value-added selling.")
+LOW_AVG_SALE_PRODUCTS = ("Your average sale is $%.2f compared to market average of $%.2f. Focus on upselling top "
+                         "products: %s. Create product bundles and train staff on cross-selling techniques.")
 LOW_COUNT = "Sales count is %.1f%% below market average (%d vs %d)"
 LOW_COUNT_ADVICE = "You have %d sales vs market average of %d. "
 LOW_COUNT_STAFF = ("Your employees average %.1f sales each. Consider employee training, performance "

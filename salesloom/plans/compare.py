@@ -74,12 +74,16 @@ def market_trend(sales: DataFrame, period: str = "daily", f: Filters = ALL) -> D
                ["sector", "bucket"])
 
 
-def compare_products(company_products: DataFrame, market_products: DataFrame, k: int = 10) -> DataFrame:
+def compare_products(company_products: DataFrame, market_products: DataFrame, k: int = 10,
+                     market_revenue: DataFrame | None = None) -> DataFrame:
     """Products of each company next to those of its market, by name (else id), first k by market revenue.
 
     Each company meets the first k products of its market and those that tie with the last of them, with 0
     where it does not sell one; its own revenue decides between ties. Products that the market does not list have
     no market revenue and can only follow where fewer than k products have any.
+
+    The market's percentages are of ``market_revenue`` (sector, marketRevenue), its whole revenue; where that is not
+    known or 0, of the sum of its products.
     """
     name = F.coalesce("productName", F.col("productId").cast("string")).alias("productName")
     pair, product = ["companyId", "sector"], ["companyId", "sector", "productName"]
@@ -88,6 +92,10 @@ def compare_products(company_products: DataFrame, market_products: DataFrame, k:
     market = market_products.select("sector", name, F.col("totalRevenue").alias("revenue")) \
         .groupBy("sector", "productName").agg(total("revenue").alias("marketRevenue"))
     market_total = market.groupBy("sector").agg(total("marketRevenue").alias("marketTotal"))
+    if market_revenue is not None:
+        whole = market_revenue.select("sector", F.nullif(F.col("marketRevenue"), F.lit(0.0)).alias("whole"))
+        market_total = market_total.join(whole, "sector", "left").select(
+            "sector", F.coalesce("whole", "marketTotal").alias("marketTotal"))
     leaders = market.withColumn("place", F.rank().over(
         Window.partitionBy("sector").orderBy(F.desc("marketRevenue")))).filter(F.col("place") <= k).drop("place")
     leading = leaders.select("sector", "productName")

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from salesloom.functions import texts
 from salesloom.functions.measures import gap, mean, ratio, total
+from salesloom.functions.names import UNKNOWN_NAME
 from salesloom.functions.texts import say
 from salesloom.operators.filters import completed, has_employee, known
+from salesloom.operators.topk import top_per_group
 
 # Thresholds of the problem rules, in percent.
 HIGH, MEDIUM = 20, 10
 LOW_SALE_SHARE = 0.8
 LOW_COUNT = -20
 LOW_REGION = -20
+NAMED = 3  # products or brands that the advice names
 
 
 def with_sales(df: DataFrame, company: DataFrame) -> DataFrame:
@@ -64,8 +67,34 @@ def _problem(kind: str, severity: Column, current: str, market: str, difference:
         description.alias("description"), recommendation.alias("recommendation"))
 
 
-def _with_problems(gaps: DataFrame, staff: DataFrame | None) -> DataFrame:
-    """Gap rows with the array of problems found (at most one per rule)."""
+def best_sellers(products: DataFrame, brands: DataFrame | None = None) -> DataFrame:
+    """topProducts and topBrands: the first names by revenue of each company and sector, for the advice."""
+    pair = ["companyId", "sector"]
+
+    def first(df: DataFrame, name: Column, revenue: str, alias: str) -> DataFrame:
+        ranked = top_per_group(df.select(*pair, name.alias("name"), revenue), pair, ["-" + revenue, "name"], NAMED)
+        grouped = ranked.groupBy(*pair).agg(F.sort_array(F.collect_list(F.struct("rank", "name"))).alias("names"))
+        return grouped.select(*pair, F.transform("names", lambda e: e["name"]).alias(alias))
+
+    found = first(products, F.coalesce("productName", F.lit(UNKNOWN_NAME)), "totalRevenue", "topProducts")
+    if brands is None:
+        return found.withColumn("topBrands", F.array().cast("array<string>"))
+    return found.join(first(brands, F.coalesce("brand", F.lit(UNKNOWN_NAME)), "revenue", "topBrands"), pair, "full")
+
+
+def _with_problems(gaps: DataFrame, staff: DataFrame | None, sellers: DataFrame | None = None) -> DataFrame:
+    """Gap rows with the array of problems found (at most one per rule).
+
+    The advice names the best selling products (``best_sellers``), else brands, else neither.
+    """
+    nothing = F.array().cast("array<string>")
+    if sellers is None:
+        gaps = gaps.withColumns({"topProducts": nothing, "topBrands": nothing})
+    else:
+        gaps = gaps.join(sellers, ["companyId", "sector"], "left").withColumns(
+            {c: F.coalesce(c, nothing) for c in ("topProducts", "topBrands")})
+    named = F.size("topProducts") > 0
+    products, brands = F.concat_ws(", ", "topProducts"), F.concat_ws(", ", "topBrands")
     if staff is None:
         gaps = gaps.withColumn("avgSalesPerEmployee", F.lit(0.0)).withColumn("totalEmployees", F.lit(0))
     else:
@@ -78,10 +107,13 @@ def _with_problems(gaps: DataFrame, staff: DataFrame | None) -> DataFrame:
         "low_revenue", revenue_severity(), "revenue", "marketAvg", F.abs("revenueDiff"),
         say(texts.LOW_REVENUE, F.abs("revenueDiff"), texts.locale_number(F.col("revenue")),
             texts.locale_number(F.col("marketAvg"))),
-        F.lit(texts.LOW_REVENUE_ADVICE))
+        F.when(named, say(texts.LOW_REVENUE_PRODUCTS, products))
+        .when(F.size("topBrands") > 0, say(texts.LOW_REVENUE_BRANDS, brands)).otherwise(texts.LOW_REVENUE_ADVICE))
     low_sale = _problem(
         "low_avg_sale", F.lit("medium"), "avgSaleAmount", "marketAvgSale", sale_diff,
-        say(texts.LOW_AVG_SALE, sale_diff, own, average), say(texts.LOW_AVG_SALE_ADVICE, own, average))
+        say(texts.LOW_AVG_SALE, sale_diff, own, average),
+        F.when(named, say(texts.LOW_AVG_SALE_PRODUCTS, own, average, products))
+        .otherwise(say(texts.LOW_AVG_SALE_ADVICE, own, average)))
     staffed = (F.col("totalEmployees") > 0) & (F.col("avgSalesPerEmployee") > 0)
     low_count = _problem(
         "low_sales_count", F.lit("high"), "salesCount", "marketAvgSalesCount", F.abs("salesCountDiff"),
@@ -95,9 +127,10 @@ def _with_problems(gaps: DataFrame, staff: DataFrame | None) -> DataFrame:
         F.when(F.col("salesCountDiff") < LOW_COUNT, low_count))))
 
 
-def detect_problems(company: DataFrame, market: DataFrame, staff: DataFrame | None = None) -> DataFrame:
+def detect_problems(company: DataFrame, market: DataFrame, staff: DataFrame | None = None,
+                    sellers: DataFrame | None = None) -> DataFrame:
     """One row per problem of a company in a sector."""
-    rows = _with_problems(company_gaps(company, market), staff)
+    rows = _with_problems(company_gaps(company, market), staff, sellers)
     return rows.select("companyId", "sector", F.explode("problems").alias("p")).select(
         "companyId", "sector", "p.*")
 

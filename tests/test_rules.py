@@ -1,6 +1,7 @@
 """Thresholds, labels, names and merges on hand-made rows."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from salesloom.operators import ingest, sketch, validate
 from salesloom.operators.joins import enrich_items, enrich_sales, sales_with_items
 from salesloom.operators.merge import merge_keyed
 from salesloom.operators.topk import page, page_info, top, top_per_group
-from salesloom.plans import compare, dashboard, problems, rootcause, tables
+from salesloom.plans import cells, compare, dashboard, problems, rootcause, tables
 
 
 def company(spark, *rows):
@@ -327,3 +328,61 @@ def test_average_price_keeps_small_prices(spark):
     rows = spark.createDataFrame([(1, "a", 0.00001), (1, "b", 0.00002), (1, "a", 0.00001)], "k int, t string, price double")
     got = group_with_texts(rows, ["k"], ["t"], {"p": F.sum("price")}, plain=["p"]).first()
     assert abs(got.p - 0.00004) < 1e-12
+
+
+def test_advice_names_products_else_brands_else_neither(spark):
+    company = spark.createDataFrame([(c, "s", 10.0, 5, 2.0) for c in "pbn"] + [("big", "s", 900.0, 50, 18.0)],
+                                    "companyId string, sector string, revenue double, salesCount long, avgSaleAmount double")
+    market = spark.createDataFrame([("s", 930.0, 65, 14.3, 4)], "sector string, marketRevenue double, marketSalesCount long, "
+                                   "marketAvgSale double, totalCompanies long")
+    products = spark.createDataFrame([("p", "s", n, v) for n, v in (("x", 1.0), ("y", 3.0), (None, 2.0), ("z", 0.5))],
+                                     "companyId string, sector string, productName string, totalRevenue double")
+    brands = spark.createDataFrame([("b", "s", "acme", 3.0), ("p", "s", "acme", 3.0)],
+                                   "companyId string, sector string, brand string, revenue double")
+    rows = problems.detect_problems(company, market, sellers=problems.best_sellers(products, brands)).collect()
+    advice = {(r.companyId, r.type): r.recommendation for r in rows}
+    assert "top products: y, Unknown, x. Consider" in advice["p", "low_revenue"]
+    assert "upselling top products: y, Unknown, x." in advice["p", "low_avg_sale"]
+    assert advice["b", "low_revenue"].startswith("Focus on top brands: acme.")
+    assert advice["n", "low_revenue"].startswith("Investigate pricing strategy")
+    assert all("Consider upselling strategies" in advice[c, "low_avg_sale"] for c in "bn")
+
+
+def test_market_percentages_are_of_the_whole_revenue(spark):
+    own = spark.createDataFrame([("c", "s", 1, "a", 6.0)],
+                                "companyId string, sector string, productId long, productName string, totalRevenue double")
+    whole = own.drop("companyId")
+    for revenue, want in ((24.0, 25.0), (0.0, 100.0), (None, 100.0)):
+        market = spark.createDataFrame([("s", revenue)], "sector string, marketRevenue double")
+        assert compare.compare_products(own, whole, 3, market).first().marketPercentage == want
+    assert compare.compare_products(own, whole, 3).first().marketPercentage == 100.0
+
+
+def test_cells_give_the_tables_of_the_lines(spark):
+    """Roll-ups of the cells equal what the lines give, with odd brands, prices and statuses."""
+    rng = random.Random(3)
+    sales = spark.createDataFrame([(i, f"c{i % 3}" if i % 7 else None, "s" if i % 5 else None,
+                                    "completed" if i % 4 else "pending") for i in range(60)],
+                                  "saleId long, companyId string, sector string, saleStatus string")
+    items = spark.createDataFrame([(rng.randrange(70), rng.choice([None, 1, 2, 3, 9]), rng.randrange(1, 5),
+                                    rng.randrange(1, 10 ** 6) / 10000, rng.choice(["x", "y", "", None]), rng.choice("kl"))
+                                   for _ in range(400)],
+                                  "saleId long, productId long, quantity int, subtotal double, brand string, categoryId string")
+    products = spark.createDataFrame([(1, "one", "x", 2.5), (2, "two", None, None), (3, "three", "", 4.0)],
+                                     "productId long, productName string, brand string, productPrice double")
+    cell = cells.item_cells(items, sales)
+
+    def rows(df, *columns):
+        return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.select(*columns).collect()), key=str)
+
+    placed = items.join(sales.select("saleId", "companyId", "sector"), "saleId")
+    branded = tables.branded_items(placed, sales, products)
+    want = tables.company_brands_all(branded)
+    pair = ["companyId", "sector", "brand", "revenue", "quantity", "avgPrice"]
+    assert rows(cells.company_brands(cell, products), *pair) == rows(want, *pair)
+    both = ["sector", "brand", "totalRevenue", "maxQuantity", "productCount"]
+    assert rows(cells.market_brands(cell, products), *both) == rows(tables.market_top_brands(want, branded), *both)
+    plain = ["companyId", "sector", "productId", "productName", "totalRevenue", "totalQuantity", "avgPrice"]
+    by_product = cells.item_cells(items, sales, ["productId"])
+    assert rows(cells.company_products(by_product, products), *plain) == rows(
+        tables.company_top_products(placed, products), *plain)
