@@ -14,7 +14,6 @@ out most of what cannot be frequent, and exact joins remove the rest.
 from __future__ import annotations
 
 import dataclasses
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -23,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesloom.llm.store import staged, staged_texts
+from salesloom.llm.store import batches_of, staged, staged_texts
 from salesloom.llm.words import LOWER, groups, mixed, segment_hashes
 
 # Bytes between words, and those that end a piece.
@@ -33,8 +32,10 @@ IS_BREAK = np.isin(np.arange(256), BREAKS)
 IS_WORD = ~np.isin(np.arange(256), SPACES + BREAKS)
 
 FILTER_BITS = 22        # a filter has 2 ** 22 bits: half a megabyte, whatever the corpus
-HELD = 1 << 19          # phrases that a task holds before it combines equal ones
-SHARES = (16, 4, 1)     # first words of each round: those whose occurrences make up 1/16, 1/4 and all of the words
+RUN_BYTES = 1 << 16     # of text in one run, about
+RUNS_AT_ONCE = 100      # runs that go to a Python worker at once
+HELD = 1 << 18          # phrases that a task holds before it combines equal ones
+SHARES = (16, 1)        # first words of each round: those whose occurrences make up 1/16 and all of the words
 
 
 @dataclasses.dataclass(frozen=True)
@@ -42,7 +43,7 @@ class Rules:
     least: int = 100        # occurrences of a phrase
     longest: int = 5        # words of a phrase
     top: int = 2000         # phrases of each language
-    shares: tuple[int, ...] = SHARES
+    shares: tuple[int, ...] = SHARES  # rounds of growth
 
 
 # ---------------------------------------------------------------- words of texts
@@ -77,51 +78,6 @@ def _lang_groups(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Array]]:
             yield langs.dictionary[int(codes[part[0]])].as_py(), batch.column(1).take(pa.array(part))
 
 
-WORD_DDL = "lang string, word binary, hash long, n long"
-
-
-def _count_words(stream: int):
-    """Task: occurrences of each word of each language, combined over many texts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
-        size = 0
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            for lang, counts in held.items():
-                keys, ns = list(counts), list(counts.values())
-                for at in range(0, len(keys), 50_000):
-                    k = keys[at:at + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(k), pa.string()), pa.array([w for _, w in k], pa.binary()),
-                         pa.array([h for h, _ in k], pa.int64()), pa.array(ns[at:at + 50_000], pa.int64())],
-                        names=["lang", "word", "hash", "n"])
-            held.clear()
-
-        for batch in batches:
-            for lang, texts in _lang_groups(batch):
-                counts = held.setdefault(lang, Counter())
-                before = len(counts)
-                for data, bounds in groups(texts):
-                    starts, ends, hashes, _, _ = _words(data, bounds, stream)
-                    # a word is its hash and its bytes, so words of equal hashes stay apart and are found out; a second
-                    # hash keeps them apart within a group of texts
-                    second = _words(data, bounds, stream + 1)[2]
-                    order = np.lexsort((second, hashes))
-                    new = np.ones(len(order), bool)
-                    new[1:] = np.diff(hashes[order]).astype(bool) | np.diff(second[order]).astype(bool)
-                    at, raw = np.flatnonzero(new), LOWER[data].tobytes()
-                    one = order[at]
-                    for h, a, b, times in zip(hashes[one].view(np.int64).tolist(), starts[one].tolist(),
-                                              ends[one].tolist(), np.diff(at, append=len(order)).tolist()):
-                        counts[h, raw[a:b]] += times
-                size += len(counts) - before
-            if size > 300_000:
-                yield from emit()
-                size = 0
-        yield from emit()
-    return run
-
-
 # ---------------------------------------------------------------- phrases
 
 def lang_key(lang: str) -> np.uint64:
@@ -161,6 +117,50 @@ def filter_of(phrases: DataFrame, words: Sequence[str]) -> np.ndarray:
     return out
 
 
+def _emitted(lang: str, columns: list[np.ndarray], fields: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), 100_000):
+        part = [c[at:at + 100_000] for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part[0]), pa.string()),
+                                          *[pa.array(c.view(np.int64)) for c in part]], names=["lang", *fields])
+
+
+def _count_words(stream: int):
+    """Task: occurrences of the hash of each word, combined over many texts; a second hash tells words of equal hashes apart."""
+    fields = ["hash", "second", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
+        for batch in batches:
+            for lang, texts in _lang_groups(batch):
+                for data, bounds in groups(texts):
+                    both = [_words(data, bounds, s)[2] for s in (stream, stream + 1)]
+                    yield from _added(held, lang, *_combined(both, np.ones(len(both[0]), np.int64), []), fields)
+        for lang in list(held):
+            yield from _emptied(held, lang, fields)
+    return run
+
+
+def _added(held: dict[str, list], lang: str, columns: list, n: np.ndarray, sides: list, fields: Sequence[str],
+           ) -> Iterator[pa.RecordBatch]:
+    """Put counted phrases to those a task holds; what cannot be combined into half of HELD is given out."""
+    parts = held.setdefault(lang, [])
+    parts.append((columns, n, sides))
+    if sum(len(p[1]) for p in parts) > HELD:
+        parts[:] = [_merged(parts)]
+        if len(parts[0][1]) > HELD // 2:
+            yield from _emptied(held, lang, fields)
+
+
+def _emptied(held: dict[str, list], lang: str, fields: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    columns, n, sides = _merged(held.pop(lang))
+    yield from _emitted(lang, [*columns, n, *sides], fields)
+
+
+def _merged(parts: list) -> tuple[list, np.ndarray, list]:
+    columns, n, sides = zip(*parts)
+    return _combined([np.concatenate(c) for c in zip(*columns)], np.concatenate(n), [np.concatenate(c) for c in zip(*sides)])
+
+
 RUNS_DDL = "lang string, words binary"
 
 
@@ -170,7 +170,7 @@ def _runs(stream: int, frequent: np.ndarray):
         for batch in batches:
             langs, out = [], []
             for lang, texts in _lang_groups(batch):
-                for data, bounds in groups(texts):
+                for data, bounds in groups(texts, RUN_BYTES):
                     _, _, hashes, _, opens = _words(data, bounds, stream)
                     kept = np.flatnonzero(_passes(frequent, phrase_keys(lang, [hashes])))
                     broken = opens[kept]
@@ -187,6 +187,29 @@ def _runs(stream: int, frequent: np.ndarray):
     return run
 
 
+SPELLED_DDL = "lang string, hash long, word binary"
+
+
+def _spelled(stream: int, wanted: np.ndarray):
+    """Task: the words whose hashes pass a filter, each once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            rows = []
+            for lang, texts in _lang_groups(batch):
+                for data, bounds in groups(texts):
+                    starts, ends, hashes, _, _ = _words(data, bounds, stream)
+                    kept = np.flatnonzero(_passes(wanted, phrase_keys(lang, [hashes])))
+                    found, at = np.unique(hashes[kept].view(np.int64), return_index=True)
+                    new = [(h, i) for h, i in zip(found.tolist(), kept[at].tolist()) if (lang, h) not in seen]
+                    seen.update((lang, h) for h, _ in new)
+                    rows += [(lang, h, LOWER[data[starts[i]:ends[i]]].tobytes()) for h, i in new]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
+                    pa.string(), pa.int64(), pa.binary()))], names=["lang", "hash", "word"])
+    return run
+
+
 def _combined(columns: list[np.ndarray], n: np.ndarray, sides: list[np.ndarray]) -> tuple[list, np.ndarray, list]:
     """Equal phrases as one: added up; ``sides`` hold the word before and after, 0 where occurrences differ in it."""
     order = np.lexsort(columns[::-1])
@@ -202,48 +225,32 @@ def _combined(columns: list[np.ndarray], n: np.ndarray, sides: list[np.ndarray])
     return [c[at] for c in columns], np.add.reduceat(n, at), same
 
 
-def _count_phrases(k: int, wanted: Callable[[str, list[np.ndarray]], np.ndarray], with_sides: bool):
-    """Task: occurrences of the phrases of k words that ``wanted`` admits, combined over the task's runs."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
-
-        def merged(lang: str) -> tuple[list, np.ndarray, list]:
-            parts = held[lang]
-            columns = [np.concatenate([p[0][i] for p in parts]) for i in range(k)]
-            sides = [np.concatenate([p[2][i] for p in parts]) for i in range(2 * with_sides)]
-            return _combined(columns, np.concatenate([p[1] for p in parts]), sides)
+def _count_phrases(lengths: Sequence[int], wanted: Callable[[str, list[np.ndarray]], np.ndarray], width: int,
+                   with_sides: bool):
+    """Task: occurrences of the phrases of these lengths that ``wanted`` admits, combined over the task's runs.
 
-        def emit(lang: str, columns: list, n: np.ndarray, sides: list) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(n), 100_000):
-                part = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n[part]), pa.string()), *[pa.array(c[part].view(np.int64)) for c in columns],
-                     pa.array(n[part]), *[pa.array(s[part].view(np.int64)) for s in sides]],
-                    names=["lang", *names(k), "n", *["before", "after"][:len(sides)]])
+    A phrase stands in ``width`` columns, with 0 behind its last word.
+    """
+    fields = [*names(width), "n", *["before", "after"][:2 * with_sides]]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
         for batch in batches:
             for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 w = np.frombuffer(raw.as_buffer(), np.uint64)
-                if len(w) < k:
-                    continue
-                m = len(w) - k + 1
-                columns = [w[i:i + m] for i in range(k)]
-                at = np.flatnonzero(np.logical_and.reduce([c != 0 for c in columns]))
-                at = at[wanted(lang, [c[at] for c in columns])]
-                if not len(at):
-                    continue
-                wide = np.concatenate([[np.uint64(0)], w, [np.uint64(0)]])
-                sides = [wide[at], wide[at + k + 1]] if with_sides else []
-                held.setdefault(lang, []).append(_combined([c[at] for c in columns], np.ones(len(at), np.int64), sides))
-                if sum(len(p[1]) for p in held[lang]) > HELD:
-                    one = merged(lang)
-                    if len(one[1]) > HELD // 2:
-                        yield from emit(lang, *one)
-                        del held[lang]
-                    else:
-                        held[lang] = [one]
-        for lang in held:
-            yield from emit(lang, *merged(lang))
+                wide = np.concatenate([[np.uint64(0)], w, np.zeros(width + 1, np.uint64)])
+                for k in lengths:
+                    at = np.flatnonzero(np.logical_and.reduce([wide[1 + i:1 + i + len(w)] != 0 for i in range(k)]))
+                    none = np.zeros(len(at), np.uint64)
+                    columns = [wide[1 + at + i] if i < k else none for i in range(width)]
+                    passed = wanted(lang, columns)
+                    at, columns = at[passed], [c[passed] for c in columns]
+                    if len(at):
+                        sides = [wide[at], wide[at + k + 1]] if with_sides else []
+                        one = _combined(columns, np.ones(len(at), np.int64), sides)
+                        yield from _added(held, lang, *one, fields)
+        for lang in list(held):
+            yield from _emptied(held, lang, fields)
     return run
 
 
@@ -268,95 +275,98 @@ class Corpus:
 
     def __init__(self, docs: DataFrame, rules: Rules):
         texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-        stream = 11     # of random numbers for the hash
+        self.texts, self.stream = texts, 11     # the stream of random numbers for the hash
         while True:
-            words = staged(staged_texts(texts.mapInArrow(_count_words(stream), WORD_DDL), "word-counts").groupBy(
-                "lang", "hash", "word").agg(F.sum("n").alias("n")), "words")
-            if words.groupBy("lang", "hash").agg(F.count("*").alias("words")).filter("words > 1").isEmpty():
+            counts = staged(staged_texts(
+                texts.mapInArrow(_count_words(self.stream), "lang string, hash long, second long, n long"),
+                "word-counts").groupBy("lang", "hash").agg(
+                F.sum("n").alias("n"), F.min("second").alias("low"), F.max("second").alias("high")), "words")
+            self.sizes = staged(counts.groupBy("lang").agg(F.sum("n").alias("total")), "sizes")
+            self.words = staged(counts.filter(F.col("n") >= rules.least), "frequent-words")
+            if self.words.filter("low <> high").isEmpty():
                 break
-            stream += 2
-        self.sizes = staged(words.groupBy("lang").agg(F.sum("n").alias("total")), "sizes")
-        self.words = staged(words.filter(F.col("n") >= rules.least), "frequent-words")
+            self.stream += 2
         frequent = filter_of(self.words.withColumnRenamed("hash", "w1"), ["w1"])
-        self.runs = staged_texts(texts.mapInArrow(_runs(stream, frequent), RUNS_DDL), "runs")
+        self.runs = staged_texts(texts.mapInArrow(_runs(self.stream, frequent), RUNS_DDL), "runs")
+
+    def spelled(self, hashes: DataFrame) -> DataFrame:
+        """The words of some hashes (lang, hash)."""
+        bits = filter_of(hashes.withColumnRenamed("hash", "w1"), ["w1"])
+        found = staged_texts(self.texts.mapInArrow(_spelled(self.stream, bits), SPELLED_DDL), "spelled")
+        return hashes.join(found.distinct(), ["lang", "hash"])
 
-    def count(self, k: int, wanted, sides: bool = False) -> DataFrame:
-        return self.runs.mapInArrow(_count_phrases(k, wanted, sides), _ddl(k, sides))
+    def staged(self, df: DataFrame, purpose: str) -> DataFrame:
+        """``staged`` for what is counted in the runs, which go to the Python workers a few at a time."""
+        with batches_of(df.sparkSession, RUNS_AT_ONCE):
+            return staged(df, purpose)
 
+    def count(self, lengths: Sequence[int], wanted, width: int, sides: bool = False) -> DataFrame:
+        return self.runs.mapInArrow(_count_phrases(lengths, wanted, width, sides), _ddl(width, sides))
 
-def _grown(corpus: Corpus, first: DataFrame, rules: Rules) -> list[DataFrame]:
-    """Frequent phrases of 2, 3 ... words that begin with one of ``first`` (lang, w1, l1), with the counts of their
-    prefixes l1, l2 ...; the last of these is the phrase's own."""
-    out, prefix = [], first
+
+def _grown(corpus: Corpus, first: DataFrame, rules: Rules) -> DataFrame | None:
+    """Frequent phrases of two words and more that begin with one of ``first`` (lang, w1, l1).
+
+    k is the number of words w1, w2 ..., with 0 behind the last; l1, l2 ... are the counts of the prefixes, null behind
+    the phrase's own.
+    """
+    out, prefix = None, first
     for k in range(2, rules.longest + 1):
         bits = filter_of(prefix, names(k - 1))
 
         def wanted(lang: str, columns: list[np.ndarray], bits=bits, k=k) -> np.ndarray:
             return _passes(bits, phrase_keys(lang, columns[:k - 1]))
 
-        counts = corpus.count(k, wanted).groupBy("lang", *names(k)).agg(F.sum("n").alias(f"l{k}")).filter(
+        counts = corpus.count([k], wanted, k).groupBy("lang", *names(k)).agg(F.sum("n").alias(f"l{k}")).filter(
             F.col(f"l{k}") >= rules.least)
-        prefix = staged(counts.join(prefix, ["lang", *names(k - 1)]), f"phrases-{k}")
+        prefix = corpus.staged(counts.join(prefix, ["lang", *names(k - 1)]), f"phrases-{k}")
         if prefix.isEmpty():
             break
-        out.append(prefix)
+        more = range(k + 1, rules.longest + 1)
+        whole = prefix.withColumns({"k": F.lit(k), **{f"w{i}": F.lit(0).cast("long") for i in more},
+                                    **{f"l{i}": F.lit(None).cast("long") for i in more}})
+        out = whole if out is None else out.unionByName(whole)
     return out
 
 
-def _detailed(corpus: Corpus, k: int, phrases: DataFrame) -> DataFrame:
-    """Occurrences (n) of ``phrases`` of k words and the word that always stands before or after, 0 if none does."""
-    bits = filter_of(phrases, names(k))
-    counts = corpus.count(k, lambda lang, columns: _passes(bits, phrase_keys(lang, columns)), True)
+def _scored(corpus: Corpus, grown: DataFrame, bar: DataFrame, rules: Rules) -> DataFrame:
+    """Score and cut of the phrases that no equally frequent longer one holds and whose bounds reach the ``bar``."""
+    n, words = rules.longest, names(rules.longest)
+    parts = [F.col(f"l{j}") for j in range(1, n + 1)]
+    last = corpus.words.select("lang", F.col("hash").alias("last"), F.col("n").alias("r_last"))
+    known = grown.withColumn("last", F.element_at(F.array(*words), F.col("k"))).join(last, ["lang", "last"]).join(
+        corpus.sizes, "lang").join(bar, "lang").withColumns({
+            "a": F.element_at(F.array(*parts), F.col("k")), "l_last": F.element_at(F.array(*parts), F.col("k") - 1)})
+    own, total = F.col("a"), F.col("total")
+    # the rest after a cut is as frequent as the phrase at least; the last word's count is known
+    bound = F.least(*[F.when(F.col("k") > j, _score(own, total, parts[j - 1], own)) for j in range(1, n)],
+                    _score(own, total, F.col("l_last"), F.col("r_last")))
+    held = staged(known.filter(bound >= F.col("bar")), "open")
+    # the rests of a phrase, itself among them; 0 fills up behind the last word
+    padded = F.concat(F.array(*words), F.array(*[F.lit(0).cast("long")] * n))
+    rests = held.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 2)).alias("cut")).withColumn(
+        "rest", F.slice(padded, F.col("cut") + 1, n))
+    rest_words = [F.col("rest")[i].alias(w) for i, w in enumerate(words)]
+    bits = filter_of(rests.select("lang", *rest_words).distinct(), words)
+    counts = corpus.count(range(2, n + 1), lambda lang, columns: _passes(bits, phrase_keys(lang, columns)), n, True)
 
     def always(c: str) -> Column:
+        """The word that stands there in all places, 0 if there is none."""
         return F.when(F.min(c) == F.max(c), F.min(c)).otherwise(0).alias(c)
 
-    found = counts.groupBy("lang", *names(k)).agg(F.sum("n").alias("n"), always("before"), always("after"))
-    return staged(found.join(phrases, ["lang", *names(k)], "left_semi"), f"details-{k}")
-
-
-def _scored(corpus: Corpus, grown: list[DataFrame], bar: DataFrame, rules: Rules) -> DataFrame:
-    """Score and cut of the phrases that no equally frequent longer one holds and whose bounds reach the ``bar``."""
-    last = corpus.words.select("lang", F.col("hash").alias("last"), F.col("n").alias("r_last"))
-    open_, parts = [], {k: [] for k in range(2, rules.longest + 1)}
-    for k, phrases in enumerate(grown, 2):
-        known = phrases.withColumn("last", F.col(f"w{k}")).join(last, ["lang", "last"]).join(corpus.sizes, "lang").join(
-            bar, "lang")
-        own = F.col(f"l{k}")
-        # the rest after a cut is as frequent as the phrase at least; the last word's count is known
-        bound = F.least(*[_score(own, F.col("total"), F.col(f"l{j}"), own) for j in range(1, k)],
-                        _score(own, F.col("total"), F.col(f"l{k - 1}"), F.col("r_last")))
-        held = staged(known.filter(bound >= F.col("bar")), f"open-{k}")
-        open_.append(held)
-        for j in range(0, k - 1):
-            rest = [F.col(f"w{i + 1}").alias(f"w{i + 1 - j}") for i in range(j, k)]
-            parts[k - j].append(held.select("lang", *rest))
-    details = {}
-    for k, several in parts.items():
-        if several:
-            wanted = several[0]
-            for more in several[1:]:
-                wanted = wanted.unionByName(more)
-            details[k] = _detailed(corpus, k, staged(wanted.distinct(), f"wanted-{k}"))
-    out = None
-    for k, held in enumerate(open_, 2):
-        found = held.join(details[k].drop("n"), ["lang", *names(k)])
-        if k < rules.longest:
-            found = found.filter("before = 0 AND after = 0")
-        for j in range(1, k - 1):
-            rest = [F.col(f"w{i}").alias(f"w{i + j}") for i in range(1, k - j + 1)]
-            found = found.join(details[k - j].select("lang", *rest, F.col("n").alias(f"r{j}")),
-                               ["lang", *[f"w{i + j}" for i in range(1, k - j + 1)]])
-        found = found.withColumn(f"r{k - 1}", F.col("r_last"))
-        own = F.col(f"l{k}")
-        cut = F.array_min(F.array(*[F.struct(_score(own, F.col("total"), F.col(f"l{j}"), F.col(f"r{j}")).alias("score"),
-                                             F.lit(j).alias("cut"), F.col(f"l{j}").alias("l"), F.col(f"r{j}").alias("r"))
-                                    for j in range(1, k)]))
-        rows = found.select("lang", F.array(*names(k)).alias("words"), own.alias("a"), cut.alias("cut"), "total", "bar").select(
-            "lang", "words", "a", "cut.l", "cut.r", F.col("total").alias("n"), "cut.score", "bar").filter(
-            "score >= bar").drop("bar")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    details = corpus.staged(counts.groupBy("lang", *words).agg(F.sum("n").alias("r"), always("before"), always("after")),
+                            "details").select("lang", F.array(*words).alias("rest"), "r", "before", "after")
+    left = F.get(F.array(*parts), F.col("cut") - 1)
+    cut = F.struct(_score(own, total, left, F.col("r")).alias("score"), "cut", left.alias("l"), "r")
+    held_in_longer = (F.col("k") < n) & ((F.col("before") != 0) | (F.col("after") != 0))
+    inner = rests.join(details, ["lang", "rest"]).groupBy("lang", *words).agg(
+        F.min(F.when(F.col("cut") > 0, cut)).alias("inner"), F.max((F.col("cut") == 0) & held_in_longer).alias("held"))
+    at_last = F.struct(_score(own, total, F.col("l_last"), F.col("r_last")).alias("score"), (F.col("k") - 1).alias("cut"),
+                       F.col("l_last").alias("l"), F.col("r_last").alias("r"))
+    return held.join(inner, ["lang", *words]).filter("NOT held").withColumn(
+        "best", F.array_min(F.array("inner", at_last))).filter(F.col("best.score") >= F.col("bar")).select(
+        "lang", F.slice(F.array(*words), 1, F.col("k")).alias("words"), "a", "best.l", "best.r", F.col("total").alias("n"),
+        "best.score")
 
 
 def _bar(corpus: Corpus, rows: DataFrame | None, rules: Rules) -> DataFrame:
@@ -393,15 +403,16 @@ def mine(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         bound = F.floor(F.col("total").cast("decimal(38,0)") * 1000 / F.col("l1"))
         first = staged(words.filter(F.col("turn") == turn).join(bar, "lang").join(corpus.sizes, "lang").filter(
             bound >= F.col("bar")).select("lang", "w1", "l1"), "frontier")
-        grown = [] if first.isEmpty() else _grown(corpus, first, rules)
-        if grown:
+        grown = None if first.isEmpty() else _grown(corpus, first, rules)
+        if grown is not None:
             new = _scored(corpus, grown, bar, rules)
             rows = staged(new if rows is None else rows.unionByName(new), "rows")
     if rows is None:
         return _empty(docs)
-    rows = rows.join(_bar(corpus, rows, rules), "lang").filter("score >= bar")
-    spelled = rows.select("lang", "words", F.posexplode("words").alias("at", "hash")).join(
-        corpus.words.select("lang", "hash", "word"), ["lang", "hash"]).groupBy("lang", "words").agg(
+    rows = staged(rows.join(_bar(corpus, rows, rules), "lang").filter("score >= bar"), "best")
+    placed = rows.select("lang", "words", F.posexplode("words").alias("at", "hash"))
+    spelled = placed.join(corpus.spelled(staged(placed.select("lang", "hash").distinct(), "their-words")), ["lang", "hash"]).groupBy(
+        "lang", "words").agg(
         # at most ``longest`` words
         F.sort_array(F.collect_list(F.struct("at", F.decode("word", "UTF-8").alias("word")))).alias("spelled"))
     rows = rows.join(spelled, ["lang", "words"]).withColumn(
