@@ -368,6 +368,37 @@ def _(b):
     return line(rows, "saleTime", "saleStatus", "productName", "productPrice", "categoryName")
 
 
+def last_of(df: DataFrame, order: list[str], n: int) -> dict:
+    """The sort columns of the n-th row: what a reader of the pages before has seen last."""
+    names = [c.lstrip("-") for c in order]
+    row = topk.top(df, order, n).select(*names).offset(n - 1).first()
+    return row.asDict() if row else {}
+
+
+@query("l01_sales_after", """
+SELECT s.saleId, s.saleTime, CAST(s.totalAmount AS DOUBLE) AS totalAmount, s.companyId, c.clientName, e.employeeName
+FROM (SELECT * FROM v_sales WHERE region = 'ASIA' ORDER BY saleTime DESC, saleId LIMIT 50 OFFSET 150) s
+LEFT JOIN v_clients c ON c.clientId = s.clientId LEFT JOIN v_employees e ON e.employeeId = s.employeeId""")
+def _(b):
+    """The fourth page, asked for by the last row of the third."""
+    only = f.Filters(region="ASIA")
+    after = last_of(f.apply_filters(b.sales, only), ls.SALES_ORDER, 150)
+    rows = ls.sales_list(b.sales, b.clients, b.employees, only, size=50, after=after)
+    return rows.select("saleId", "saleTime", F.col("totalAmount").cast("double").alias("totalAmount"), "companyId",
+                       "clientName", "employeeName")
+
+
+@query("l06_payments_after", """
+SELECT p.saleId, p.paymentType, p.paymentStatus, p.paymentDate, CAST(p.paymentAmount AS DOUBLE) AS paymentAmount, s.saleTime
+FROM (SELECT * FROM v_payments WHERE paymentType = 'card' ORDER BY paymentDate DESC, saleId LIMIT 40 OFFSET 80) p
+LEFT JOIN v_sales s ON s.saleId = p.saleId""")
+def _(b):
+    after = last_of(f.equal_to(b.payments, paymentType="card"), ls.PAYMENTS_ORDER, 80)
+    rows = ls.payments_list(b.payments, b.sales, size=40, after=after, paymentType="card")
+    return rows.select("saleId", "paymentType", "paymentStatus", "paymentDate",
+                       F.col("paymentAmount").cast("double").alias("paymentAmount"), "saleTime")
+
+
 @query("l03_products_list", """
 SELECT p.productId, p.productName, p.productPrice, p.brand, c.categoryName FROM
 (SELECT * FROM v_products WHERE isActive AND productPrice >= 950 ORDER BY productId DESC LIMIT 50) p
@@ -476,12 +507,14 @@ flaws AS (SELECT s.*, concat_ws(';', CASE WHEN s.saleId % 30 = 0 THEN 'saleStatu
 @query("i05_ingest_batch_report", f"""
 WITH {FLAWS} SELECT count(*) AS total, count(*) FILTER (WHERE errors = '') AS success,
        count(*) FILTER (WHERE errors <> '') AS failed FROM flaws""")
-def _(b): return ing.ingest_batch(flawed(b), source="pos", now=AT)[2]
+def _(b):
+    report = ing.ingest_batch(flawed(b), source="pos", now=AT).report
+    return b.spark.createDataFrame([tuple(report[c] for c in ("total", "success", "failed"))], "total long, success long, failed long")
 
 
 @query("i05_ingest_batch_errors", f"WITH {FLAWS} SELECT saleId, 'pos' AS source, errors FROM flaws WHERE errors <> ''")
 def _(b):
-    return ing.ingest_batch(flawed(b), source="pos", now=AT)[1].select(
+    return ing.ingest_batch(flawed(b), source="pos", now=AT).rejected.select(
         "saleId", "source", F.concat_ws(";", "errors").alias("errors"))
 
 
@@ -489,10 +522,31 @@ def _(b):
 WITH {FLAWS} SELECT f.saleId, 'company_x' AS companyId, f.saleStatus, CAST(coalesce(sum(i.subtotal), 0) AS DOUBLE) AS totalAmount
 FROM flaws f LEFT JOIN v_ev_items i ON i.saleId = f.saleId WHERE errors = '' GROUP BY f.saleId, f.saleStatus""")
 def _(b):
-    return ing.ingest_batch(flawed(b), company_id="company_x", now=AT)[0].select(
+    return ing.ingest_batch(flawed(b), company_id="company_x", now=AT).accepted.select(
         "saleId", "companyId", "saleStatus", "totalAmount")
 
 
+@query("i05_documents_to_messages", f"""
+WITH {FLAWS},
+good AS (SELECT f.saleId, f.companyId, CAST(coalesce(sum(i.subtotal), 0) AS DOUBLE) AS totalAmount, count(i.saleId) AS n
+         FROM flaws f LEFT JOIN v_ev_items i ON i.saleId = f.saleId WHERE errors = '' GROUP BY f.saleId, f.companyId)
+SELECT 'sales' AS topic, companyId AS key, CAST(saleId AS STRING) AS id, totalAmount AS amount, n AS lines FROM good
+UNION ALL SELECT 'sale_items', CAST(g.saleId AS STRING), CAST(g.saleId AS STRING), CAST(sum(i.subtotal) AS DOUBLE), count(*)
+FROM good g JOIN v_ev_items i ON i.saleId = g.saleId GROUP BY g.saleId""")
+def _(b):
+    """The whole flow: documents are checked, split and sent; the messages are read back from where they were sent."""
+    folder = work_folder(b.spark, "messages")
+    ing.ingest_sales(flawed(b), b.products, {"path": folder}, now=AT, at=AT)
+    sent = b.spark.read.parquet(folder).select("topic", "key", F.from_json(
+        "value", "_id string, saleId string, totalAmount double, subtotal double, items array<struct<productId long>>").alias("v"))
+    sales = sent.filter("topic = 'sales'").select(
+        "topic", "key", F.col("v._id").alias("id"), F.col("v.totalAmount").alias("amount"),
+        F.size(F.coalesce("v.items", F.array())).cast("bigint").alias("lines"))
+    items = sent.filter("topic = 'sale_items'").groupBy("topic", "key", F.col("v.saleId").alias("id")).agg(
+        m.total("v.subtotal").alias("amount"), F.count("*").alias("lines"))
+    return sales.unionByName(items)
+
+
 @query("i06_validate_sales", """
 SELECT event_id, coalesce(CASE WHEN event_id % 9 = 0 THEN NULL ELSE event_type END, 'completed') AS saleStatus,
        concat_ws(';', CASE WHEN event_id % 9 <> 0 AND event_type NOT IN ('pending', 'completed', 'cancelled') THEN 'saleStatus is not an allowed value' END,

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import dataclasses
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from salesloom.functions.measures import MONEY, total
 from salesloom.operators.joins import lookup
 from salesloom.operators.validate import RULES, accepted, rejected, validate
+from salesloom.session import work_folder
+from salesloom.sources.events import to_events, write_events
 
 
 def line_subtotal(quantity: Column, price: Column, discount: Column) -> Column:
@@ -56,9 +59,9 @@ def recompute_totals(sales: DataFrame, items: DataFrame) -> DataFrame:
             .withColumn("totalAmount", F.coalesce("itemTotal", F.lit(0.0))).drop("itemTotal"))
 
 
-def ingest_batch(docs: DataFrame, source: str | None = None, company_id: str | None = None,
-                 branch_id: str | None = None, now: Any = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Accepted documents, rejected documents with errors, and the counts of both.
+def check_batch(docs: DataFrame, source: str | None = None, company_id: str | None = None,
+                branch_id: str | None = None, now: Any = None) -> DataFrame:
+    """Documents with normalised values, their total and the list of what is wrong with each (``errors``).
 
     A bad line rejects its document. Overrides replace the document's own values.
     """
@@ -79,11 +82,51 @@ def ingest_batch(docs: DataFrame, source: str | None = None, company_id: str | N
     }
     lines = [F.when(F.exists("items", check), reason) for reason, check in line_checks.items()]
     checked = checked.withColumn("errors", F.concat("errors", F.array_compact(F.array(*lines))))
-    checked = checked.withColumn("totalAmount", document_total(F.col("items")).cast("double"))
-    bad = F.size("errors") > 0
-    report = checked.agg(F.count("*").alias("total"), F.count_if(~bad).alias("success"),
-                         F.count_if(bad).alias("failed"))
-    return accepted(checked), rejected(checked), report
+    return checked.withColumn("totalAmount", document_total(F.col("items")).cast("double"))
+
+
+@dataclasses.dataclass(frozen=True)
+class Ingested:
+    """What became of a batch of documents, as it is stored, and the number of each kind."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    report: dict[str, int]
+
+
+def ingest_batch(docs: DataFrame, folder: str | None = None, **options: Any) -> Ingested:
+    """Check a batch once: one write deals the documents out by outcome while they are counted.
+
+    ``options`` are those of ``check_batch``. The stored documents are what later steps read, so no rule runs again.
+    """
+    spark = docs.sparkSession
+    folder = folder or work_folder(spark, "ingested")
+    checked = check_batch(docs, **options)
+    outcome = F.when(F.size("errors") > 0, "rejected").otherwise("accepted")
+    counts = Observation()
+    dealt = checked.withColumn("outcome", outcome).observe(
+        counts, F.count(F.lit(1)).alias("total"), F.count_if(F.col("outcome") == "accepted").alias("success"),
+        F.count_if(F.col("outcome") == "rejected").alias("failed"))
+    dealt.write.mode("overwrite").partitionBy("outcome").parquet(folder)
+    stored = spark.read.schema(dealt.schema).parquet(folder)
+    return Ingested(accepted(stored.filter("outcome = 'accepted'").drop("outcome")),
+                    rejected(stored.filter("outcome = 'rejected'").drop("outcome")), dict(counts.get))
+
+
+def sale_messages(docs: DataFrame, products: DataFrame, now: Any = None, at: Any = None) -> DataFrame:
+    """The messages of accepted documents: each sale with its lines, and each line with its sale's keys and time."""
+    sales, items = split_sales(docs, now)
+    items = fill_brand(items, products)
+    whole = sales.join(docs.select("saleId", "items"), "saleId").withColumnRenamed("saleId", "_id")
+    return to_events(whole, "sale", at).unionByName(to_events(items, "sale_item", at))
+
+
+def ingest_sales(docs: DataFrame, products: DataFrame, target: dict[str, str], now: Any = None, at: Any = None,
+                 **options: Any) -> Ingested:
+    """From documents to messages: check, store by outcome, split, fill brands, add up and send what was accepted."""
+    done = ingest_batch(docs, now=now, **options)
+    write_events(sale_messages(done.accepted, products, now, at), target)
+    return done
 
 
 def ingest_payments(payments: DataFrame, now: Any = None) -> tuple[DataFrame, DataFrame]:

@@ -1,7 +1,12 @@
-"""Paged listings. Rows are chosen first; names are attached to the chosen page only."""
+"""Paged listings. Rows are chosen first; names are attached to the chosen page only.
+
+A page is asked for by its number, or as what follows a row (``after``: the sort columns of the last row seen, empty for the
+first page). The latter costs the same for every page.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -9,20 +14,28 @@ from pyspark.sql import functions as F
 
 from salesloom.operators.filters import ALL, Filters, apply_filters, date_range, equal_to, filter_products
 from salesloom.operators.joins import lookup
-from salesloom.operators.topk import page, top
+from salesloom.operators.topk import page, page_after, top
+
+# The order of each listing.
+SALES_ORDER = ["-saleTime", "saleId"]
+ITEMS_ORDER = ["-saleId", "productId", "quantity", "subtotal"]
+PAYMENTS_ORDER = ["-paymentDate", "saleId"]
+
+
+def _page(rows: DataFrame, order: Sequence[str], number: int, size: int, after: Mapping[str, Any] | None) -> DataFrame:
+    return page(rows, order, number, size) if after is None else page_after(rows, order, after or None, size)
 
 
 def sales_list(sales: DataFrame, clients: DataFrame, employees: DataFrame, f: Filters = ALL,
-               number: int = 1, size: int = 50) -> DataFrame:
-    rows = page(apply_filters(sales, f), ["-saleTime", "saleId"], number, size)
+               number: int = 1, size: int = 50, after: Mapping[str, Any] | None = None) -> DataFrame:
+    rows = _page(apply_filters(sales, f), SALES_ORDER, number, size, after)
     return lookup(lookup(rows, clients, "clientId", ["clientName"]), employees, "employeeId", ["employeeName"])
 
 
 def items_list(items: DataFrame, sales: DataFrame, products: DataFrame, categories: DataFrame,
-               number: int = 1, size: int = 100, **values: Any) -> DataFrame:
+               number: int = 1, size: int = 100, after: Mapping[str, Any] | None = None, **values: Any) -> DataFrame:
     """Optional equality on saleId, productId, categoryId, brand."""
-    order = ["-saleId", "productId", "quantity", "subtotal"]
-    rows = page(equal_to(items, **values), order, number, size)
+    rows = _page(equal_to(items, **values), ITEMS_ORDER, number, size, after)
     rows = lookup(rows, sales, "saleId", ["saleTime", "saleStatus", "totalAmount"])
     named = products.select("productId", "productName", "productPrice", F.col("brand").alias("productBrand"))
     rows = lookup(rows, named, "productId", ["productName", "productPrice", "productBrand"])
@@ -30,24 +43,25 @@ def items_list(items: DataFrame, sales: DataFrame, products: DataFrame, categori
 
 
 def products_list(products: DataFrame, categories: DataFrame, number: int = 1, size: int = 50,
-                  **conditions: Any) -> DataFrame:
-    rows = page(filter_products(products, **conditions), ["-productId"], number, size)
+                  after: Mapping[str, Any] | None = None, **conditions: Any) -> DataFrame:
+    rows = _page(filter_products(products, **conditions), ["-productId"], number, size, after)
     return lookup(rows, categories, "categoryId", ["categoryName"])
 
 
-def clients_list(clients: DataFrame, number: int = 1, size: int = 50, **values: Any) -> DataFrame:
-    return page(equal_to(clients, **values), ["-clientId"], number, size)
+def clients_list(clients: DataFrame, number: int = 1, size: int = 50, after: Mapping[str, Any] | None = None,
+                 **values: Any) -> DataFrame:
+    return _page(equal_to(clients, **values), ["-clientId"], number, size, after)
 
 
-def employees_list(employees: DataFrame, number: int = 1, size: int = 50, **values: Any) -> DataFrame:
-    return page(equal_to(employees, **values), ["-employeeId"], number, size)
+def employees_list(employees: DataFrame, number: int = 1, size: int = 50, after: Mapping[str, Any] | None = None,
+                   **values: Any) -> DataFrame:
+    return _page(equal_to(employees, **values), ["-employeeId"], number, size, after)
 
 
 def payments_list(payments: DataFrame, sales: DataFrame, start: Any = None, end: Any = None, number: int = 1,
-                  size: int = 50, **values: Any) -> DataFrame:
+                  size: int = 50, after: Mapping[str, Any] | None = None, **values: Any) -> DataFrame:
     """Optional equality on saleId, companyId, branchId, paymentType, paymentStatus."""
-    rows = page(equal_to(date_range(payments, "paymentDate", start, end), **values),
-                ["-paymentDate", "saleId"], number, size)
+    rows = _page(equal_to(date_range(payments, "paymentDate", start, end), **values), PAYMENTS_ORDER, number, size, after)
     return lookup(rows, sales, "saleId", ["saleTime", "totalAmount", "saleStatus"])
 
 
