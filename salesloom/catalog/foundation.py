@@ -572,6 +572,82 @@ def _(b):
         "c_custkey", "employeeName", "employeeEmail", "isActive", F.concat_ws(";", "errors").alias("errors"))
 
 
+def faults(*pairs: str) -> str:
+    """Reasons of a row, joined, from pairs of a condition and its text."""
+    return "concat_ws(';', " + ", ".join(f"CASE WHEN {when} THEN '{text}' END" for when, text in zip(pairs[::2], pairs[1::2])) + ")"
+
+
+@query("i06_validate_items", f"""
+SELECT l_orderkey, l_linenumber, coalesce(trim(note), '') AS itemNotes, 0 AS discount, {faults(
+    "l_orderkey % 11 = 0", "productId is required", "l_linenumber = 2", "quantity is less than 1", "l_linenumber = 3",
+    "price is required", "l_linenumber = 4", "price is less than 0", "l_orderkey % 13 = 0", "subtotal is required")} AS errors
+FROM (SELECT *, '  ' || l_returnflag || ' ' AS note FROM lineitem)""")
+def _(b):
+    order, number = F.col("l_orderkey"), F.col("l_linenumber")
+    rows = b.read("lineitem").select(
+        "l_orderkey", "l_linenumber", order.alias("saleId"), F.when(order % 11 != 0, F.col("l_partkey")).alias("productId"),
+        F.when(number == 2, 0).otherwise(1).alias("quantity"),
+        F.when(number == 4, -1.0).when(number != 3, 2.0).alias("price"), F.when(order % 13 != 0, 2.0).alias("subtotal"),
+        F.concat(F.lit("  "), "l_returnflag", F.lit(" ")).alias("itemNotes"))
+    return v.validate(rows, "sale_items").select(
+        "l_orderkey", "l_linenumber", "itemNotes", "discount", F.concat_ws(";", "errors").alias("errors"))
+
+
+@query("i06_validate_products", f"""
+SELECT p_partkey, 'piece' AS unit, 0 AS stockQuantity, true AS isActive, trim(name) AS productName, {faults(
+    "trim(name) = ''", "productName is required", "length(trim(name)) > 100", "productName is longer than 100",
+    "p_partkey % 8 = 0", "productPrice is required", "p_partkey % 8 = 1", "productPrice is less than 0")} AS errors
+FROM (SELECT *, CASE p_partkey % 6 WHEN 0 THEN '   ' WHEN 1 THEN repeat(p_name, 20) ELSE p_name || ' ' END AS name FROM part)""")
+def _(b):
+    key = F.col("p_partkey")
+    name = F.when(key % 6 == 0, "   ").when(key % 6 == 1, F.repeat("p_name", F.lit(20))).otherwise(F.concat("p_name", F.lit(" ")))
+    rows = b.read("part").select("p_partkey", name.alias("productName"),
+                                 F.when(key % 8 == 1, -5.0).when(key % 8 != 0, 5.0).alias("productPrice"))
+    return v.validate(rows, "products").select("p_partkey", "unit", "stockQuantity", "isActive", "productName",
+                                               F.concat_ws(";", "errors").alias("errors"))
+
+
+@query("i06_validate_clients", f"""
+SELECT c_custkey, lower(c_name) || '@x.com' AS clientEmail, trim(place) AS clientLocation, {faults(
+    "trim(place) = ''", "clientLocation is required")} AS errors
+FROM (SELECT *, CASE WHEN c_custkey % 7 = 0 THEN ' ' ELSE ' Street ' || c_custkey END AS place FROM customer)""")
+def _(b):
+    key = F.col("c_custkey")
+    rows = b.read("customer").select(
+        "c_custkey", F.col("c_name").alias("clientName"), F.concat(F.lit(" "), "c_name", F.lit("@X.com ")).alias("clientEmail"),
+        key.cast("string").alias("clientPhone"),
+        F.when(key % 7 == 0, " ").otherwise(F.concat(F.lit(" Street "), key.cast("string"))).alias("clientLocation"))
+    return v.validate(rows, "clients").select("c_custkey", "clientEmail", "clientLocation",
+                                              F.concat_ws(";", "errors").alias("errors"))
+
+
+@query("i06_validate_payments", f"""
+SELECT o_orderkey, coalesce(CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'lost' ELSE 'failed' END, 'pending') AS paymentStatus, {faults(
+    "o_orderkey % 9 = 0", "paymentAmount is required", "o_orderkey % 9 = 1", "paymentAmount is less than 0",
+    "o_orderkey % 5 = 0", "paymentType is required", "o_orderkey % 5 = 1", "paymentType is not an allowed value",
+    "o_orderkey % 4 = 1", "paymentStatus is not an allowed value")} AS errors FROM orders""")
+def _(b):
+    key = F.col("o_orderkey")
+    rows = b.read("orders").select(
+        "o_orderkey", key.alias("saleId"), F.when(key % 9 == 1, -1.0).when(key % 9 != 0, 1.0).alias("paymentAmount"),
+        F.when(key % 5 == 1, "barter").when(key % 5 != 0, "card").alias("paymentType"),
+        F.when(key % 4 == 1, "lost").when(key % 4 != 0, "failed").alias("paymentStatus"))
+    return v.validate(rows, "payments").select("o_orderkey", "paymentStatus", F.concat_ws(";", "errors").alias("errors"))
+
+
+@query("i06_validate_categories", f"""
+SELECT p_partkey, trim(name) AS categoryName, {faults(
+    "trim(name) = ''", "categoryName is required", "length(trim(name)) < 2", "categoryName is shorter than 2",
+    "length(trim(name)) > 50", "categoryName is longer than 50", "p_partkey % 5 = 0", "categoryDescription is longer than 200")} AS errors
+FROM (SELECT *, CASE p_partkey % 4 WHEN 0 THEN ' ' WHEN 1 THEN ' x ' WHEN 2 THEN repeat(p_type, 20) ELSE p_type END AS name FROM part)""")
+def _(b):
+    key = F.col("p_partkey")
+    name = F.when(key % 4 == 0, " ").when(key % 4 == 1, " x ").when(key % 4 == 2, F.repeat("p_type", F.lit(20))).otherwise(F.col("p_type"))
+    rows = b.read("part").select("p_partkey", name.alias("categoryName"),
+                                 F.when(key % 5 == 0, F.repeat(F.lit("long "), F.lit(60))).otherwise("short").alias("categoryDescription"))
+    return v.validate(rows, "categories").select("p_partkey", "categoryName", F.concat_ws(";", "errors").alias("errors"))
+
+
 def product_changes(b: Tables) -> tuple[DataFrame, DataFrame]:
     """Two changes per part: the price, then the brand. A third has only a barcode, every 17th no key."""
     base = b.products.select("productId", "productName", "productPrice", "brand", "sku", F.when(
