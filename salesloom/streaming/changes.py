@@ -107,12 +107,12 @@ def keep_items(batch: DataFrame, batch_id: int, root: str, products: DataFrame |
 
 
 def items_with_company(items: DataFrame, sales: DataFrame, bound: str = TWO_MINUTES,
-                       watermark: str = TWO_MINUTES) -> DataFrame:
+                       watermark: str = TWO_MINUTES, hot: DataFrame | None = None) -> DataFrame:
     """Every item once, with ``headCompany`` of its completed sale; without one, as soon as none can come any more.
 
     Sale ids are unique (see ``dedup_events``).
     """
-    return join_items_sales(items, sales, bound, watermark, how="left")
+    return join_items_sales(items, sales, bound, watermark, hot, "left")
 
 
 # ---------------------------------------------------------------- reading

@@ -76,12 +76,14 @@ def start(spec: QuerySpec, inputs: Inputs, root: str, once: bool = False, **opti
 
 
 def start_kept(inputs: Inputs, root: str, once: bool = False, of: Sequence[str] = ("sales", "items"),
-               bound: str = w.TWO_MINUTES, watermark: str = w.TWO_MINUTES, parts: int = PARTS) -> list[StreamingQuery]:
+               bound: str = w.TWO_MINUTES, watermark: str = w.TWO_MINUTES, parts: int = PARTS,
+               hot: DataFrame | None = None) -> list[StreamingQuery]:
     """The streams behind the ten result tables: one over sales, one over items joined with sales.
 
-    Each batch is fanned out to the tables of its stream. A batch that fails is run again under its number.
+    Each batch is fanned out to the tables of its stream. A batch that fails is run again under its number. ``hot`` are
+    sales of very many lines (see ``join_items_sales``).
     """
-    joined = changes.items_with_company(inputs.items, inputs.sales, bound, watermark) if "items" in of else None
+    joined = changes.items_with_company(inputs.items, inputs.sales, bound, watermark, hot) if "items" in of else None
     kinds = {
         "sales": (inputs.sales, "10 seconds", lambda df, n: changes.keep_sales(df, n, root, parts)),
         "items": (joined, "1 minute", lambda df, n: changes.keep_items(df, n, root, inputs.products, parts)),

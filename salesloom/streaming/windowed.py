@@ -118,38 +118,64 @@ def market_employee_windows(sales: DataFrame, window: str = MINUTE, watermark: s
     return _windows(completed(sales), ["sector"], sums, window, watermark)
 
 
+SALTS = 16  # keys over which the lines of a hot sale are dealt
+
+
+def salted(df: DataFrame, key: str, hot: DataFrame | None, spread: Column, name: str, salts: int = SALTS) -> DataFrame:
+    """``df`` with a salt: 0 for most keys, the hash of ``spread`` for the rows of ``hot`` ones.
+
+    ``hot`` has fewer than k keys of ``sketch.heavy_hitters`` (of an earlier batch or the stored facts), a bound that does
+    not grow with the data.
+    """
+    if hot is None:
+        return df.withColumn(name, F.lit(0).cast("bigint"))
+    marked = df.join(F.broadcast(hot.select(F.col(key).alias("__hot")).distinct()), F.col(key) == F.col("__hot"), "left")
+    return marked.withColumn(name, F.when(F.col("__hot").isNotNull(), F.pmod(spread, F.lit(salts))).otherwise(0)
+                             .cast("bigint")).drop("__hot")
+
+
 def join_items_sales(items: DataFrame, sales: DataFrame, bound: str = TWO_MINUTES,
-                     watermark: str = TWO_MINUTES, salts: int = 4, how: str = "inner") -> DataFrame:
+                     watermark: str = TWO_MINUTES, hot: DataFrame | None = None, how: str = "inner") -> DataFrame:
     """Items with the completed sale they belong to: branded ones under the company of the sale, or (``how="left"``)
     all of them with that company as ``headCompany``, null where there is none.
 
     Both sides have a watermark and the times must lie within ``bound`` of each other, so old state is
-    dropped. Streams have no run-time skew handling: the lines of one sale are spread over ``salts``
-    keys, and the (small) sale row is repeated for each.
+    dropped. Streams have no run-time skew handling: the lines of a sale that is known to be ``hot`` (saleId) are spread
+    over SALTS keys, and its sale row is repeated for each; any other sale is one row of state. A stream is restarted
+    with another list only on a new checkpoint, else sales of the last ``bound`` miss their later lines.
     """
     inner = how == "inner"
     lines = _timed(with_brand(with_sector(items)).drop("companyId") if inner else items, watermark)
-    lines = lines.withColumn("salt", F.pmod(F.xxhash64("productId", "quantity", "price"), salts))
+    lines = salted(lines, "saleId", hot, F.xxhash64("productId", "quantity", "price"), "salt")
     heads = _timed(completed(sales), watermark).select(
         F.col("saleId").alias("headId"), F.col("saleTime").alias("headTime"),
-        F.col("companyId").alias("companyId" if inner else "headCompany"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("headSalt"))
+        F.col("companyId").alias("companyId" if inner else "headCompany"))
+    if hot is None:
+        heads = heads.withColumn("headSalt", F.lit(0).cast("bigint"))
+    else:
+        heads = salted(heads, "headId", hot.withColumnRenamed("saleId", "headId"), F.lit(SALTS - 1), "last").withColumn(
+            "headSalt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last")))).drop("last")
     near = F.expr(f"saleTime >= headTime - INTERVAL {bound} AND saleTime <= headTime + INTERVAL {bound}")
     same = (F.col("saleId") == F.col("headId")) & (F.col("salt") == F.col("headSalt"))
     return lines.join(heads, same & near, how).drop("headId", "headTime", "headSalt", "salt")
 
 
 def company_brand_windows(items: DataFrame, sales: DataFrame, products: DataFrame | None, window: str = MINUTE,
-                          watermark: str = TWO_MINUTES, bound: str = TWO_MINUTES) -> DataFrame:
-    joined = known(with_brand(enrich_items(join_items_sales(items, sales, bound, watermark), products)), "companyId")
-    worth = total(F.col("productPrice") * F.col("quantity"))
-    sums = [total("subtotal").alias("revenue"), F.sum("quantity").alias("quantity"),
-            F.min("productName").alias("productName"), F.avg("productPrice").alias("avgPrice"),
-            F.coalesce(worth, F.lit(0.0)).alias("listWorth"),
-            F.coalesce(F.sum(F.when(F.col("productPrice").isNotNull(), F.col("quantity"))), F.lit(0))
-            .alias("pricedQuantity")]
+                          watermark: str = TWO_MINUTES, bound: str = TWO_MINUTES,
+                          hot: DataFrame | None = None) -> DataFrame:
+    """Two steps: lines are added up by product and their own brand, then the products are looked up and added up."""
+    joined = known(join_items_sales(items, sales, bound, watermark, hot), "companyId")
     slot = F.window("saleTime", window).alias("w")
-    return _flat(joined.groupBy(slot, "companyId", "sector", "brand").agg(*sums))
+    sold = joined.groupBy(slot, "companyId", "sector", "brand", "productId").agg(
+        total("subtotal").alias("subtotal"), F.sum("quantity").alias("quantity"), F.count("*").alias("lines"))
+    rows = with_brand(enrich_items(sold, products))
+    price, priced = F.col("productPrice"), F.col("productPrice").isNotNull()
+    sums = [total("subtotal").alias("revenue"), F.sum("quantity").alias("quantity"),
+            F.min("productName").alias("productName"),
+            F.try_divide(total(price * F.col("lines")), F.sum(F.when(priced, F.col("lines")))).alias("avgPrice"),
+            F.coalesce(total(price * F.col("quantity")), F.lit(0.0)).alias("listWorth"),
+            F.coalesce(F.sum(F.when(priced, F.col("quantity"))), F.lit(0)).alias("pricedQuantity")]
+    return _flat(rows.groupBy("w", "companyId", "sector", "brand").agg(*sums))
 
 
 def company_employee_windows(sales: DataFrame, employees: DataFrame | None, window: str = MINUTE,

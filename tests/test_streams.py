@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from salesloom import session
 from salesloom.catalog.bindings import Tables
 from salesloom.catalog.streams import closed_inputs
+from salesloom.operators import sketch
 from salesloom.operators.filters import with_brand
 from salesloom.plans import tables
 from salesloom.streaming import ledger, runner, windowed
@@ -150,9 +151,10 @@ def test_dedup_stream_with_and_without_spread(spark):
     rows = [sale(i % 5, "10:00:00") for i in range(50)]
     spark.createDataFrame(rows, SALES).withColumn("offset", F.monotonically_increasing_id()).write.parquet(folder)
     schema = spark.read.parquet(folder).schema
-    for spread in (None, F.col("offset")):
+    hot = spark.createDataFrame([("1",), ("3",)], "saleId string")
+    for spread in ({}, {"spread": F.col("offset"), "hot": hot}, {"spread": F.col("offset")}):
         root = session.work_folder(spark, "dedup")
-        unique = dedup_events(spark.readStream.schema(schema).parquet(folder), ["saleId"], spread=spread)
+        unique = dedup_events(spark.readStream.schema(schema).parquet(folder), ["saleId"], **spread)
         (unique.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).foreachBatch(lambda df, n: ledger.write_batch(df, n, root)).start().awaitTermination())
         assert spark.read.parquet(f"{root}/batches").count() == 5
@@ -167,6 +169,38 @@ def test_work_folder_lies_under_the_shared_folder(spark):
 
 def test_salted_join_is_complete(spark):
     b = Tables(spark, FOLDER)
-    joined = windowed.join_items_sales(b.ev_items, b.ev_sales, salts=5)
-    plain = with_brand(b.ev_items).join(b.ev_sales.filter("saleStatus = 'completed'").select("saleId"), "saleId", "left_semi")
-    assert joined.count() == plain.count()
+    hot = b.ev_sales.filter("saleId % 3 = 0").select("saleId")
+    for how in ("inner", "left"):
+        joined = windowed.join_items_sales(b.ev_items, b.ev_sales, hot=hot, how=how)
+        plain = windowed.join_items_sales(b.ev_items, b.ev_sales, how=how)
+        columns = ["saleId", "productId", "quantity", "companyId", "price"]
+        assert sorted(joined.select(*columns).collect()) == sorted(plain.select(*columns).collect())
+    whole = with_brand(b.ev_items).join(b.ev_sales.filter("saleStatus = 'completed'").select("saleId"), "saleId", "left_semi")
+    assert windowed.join_items_sales(b.ev_items, b.ev_sales).count() == whole.count()
+
+
+def test_only_hot_sales_are_salted(spark):
+    """Half of the lines under one sale: they spread over the tasks, and every other sale is one row of state."""
+    time = dt.datetime.fromisoformat("2024-01-01 10:00:00")
+    sales = [(str(i), time, 1.0, "c", "r", "s", "completed", "e") for i in range(2000)]
+    lines = [("7" if i % 2 else str(i % 2000), f"p{i}", i % 9 + 1, 1.0, 1.0, "s", "c", time, "x") for i in range(8000)]
+    ddl = "saleId string, productId string, quantity int, price double, subtotal double, sector string, companyId string, saleTime timestamp, brand string"
+    folder = session.work_folder(spark, "hot")
+    spark.createDataFrame(sales, SALES).write.parquet(f"{folder}/sales")
+    items = spark.createDataFrame(lines, ddl)
+    items.write.parquet(f"{folder}/items")
+    hot = sketch.heavy_hitters(items, "saleId", 50).select("saleId")
+    assert [r.saleId for r in hot.collect()] == ["7"]
+    dealt = windowed.salted(items, "saleId", hot, F.xxhash64("productId", "quantity", "price"), "salt").repartition(8, "saleId", "salt")
+    sizes = sorted(r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+
+    root = session.work_folder(spark, "hot")
+    joined = windowed.join_items_sales(spark.readStream.schema(ddl).parquet(f"{folder}/items"),
+                                       spark.readStream.schema(SALES).parquet(f"{folder}/sales"), hot=hot)
+    query = (joined.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+             .trigger(availableNow=True).foreachBatch(lambda df, n: ledger.write_batch(df, n, root)).start())
+    query.awaitTermination()
+    assert spark.read.parquet(f"{root}/batches").count() == 8000
+    state = query.recentProgress[0]["stateOperators"][0]["numRowsUpdated"]
+    assert state == 8000 + 1999 + windowed.SALTS
