@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,10 +92,36 @@ def linked(one: np.ndarray, two: np.ndarray, part: int = PART, whole: int = WHOL
     return whole * both >= part * (len(one) + len(two) - both)
 
 
-def _sets_with(more, schema: pa.Schema, width: int):
-    """Task: doc_id and what ``more`` makes of the shingle set, in batches."""
+FILTER_BITS = 23
+
+
+def _slots(ids: np.ndarray) -> np.ndarray:
+    return (ids ^ (ids >> np.uint64(FILTER_BITS))) & np.uint64((1 << FILTER_BITS) - 1)
+
+
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit for the slot of each number; 2 ** FILTER_BITS bits, of which at most 2 ** (FILTER_BITS - 6) words come to the
+    driver. A filter that is full lets everything pass."""
+    slot = F.col("doc_id").bitwiseXOR(F.call_function("shiftrightunsigned", F.col("doc_id"), F.lit(FILTER_BITS)))
+    slot = slot.bitwiseAND((1 << FILTER_BITS) - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    for r in ids.groupBy(F.floor(slot / 64).alias("at")).agg(F.bit_or(bit).alias("bits")).collect():
+        out[r["at"]] = np.uint64(r["bits"] & (2 ** 64 - 1))
+    return out
+
+
+def _passing(batch: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    known = batch.filter(pc.is_valid(batch.column(0)))
+    slot = _slots(known.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+    return known.filter(pa.array((bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0))
+
+
+def _sets_with(more, schema: pa.Schema, width: int, only: np.ndarray | None = None):
+    """Task: doc_id and what ``more`` makes of the shingle set, in batches; of doc_ids that pass the filter ``only``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch if only is None else _passing(batch, only)
             rows = []
             for key, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width)):
                 rows.append((key, *more(own)))
@@ -306,8 +333,9 @@ def near_duplicates(docs: DataFrame, width: int = 2, part: int = PART, whole: in
         "low < high").select("bucket"), "buckets")
     members = staged(banded.join(full, "bucket").select("bucket", "node", "n"), "members")
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = staged_texts(rows.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _sets_with(lambda own: (own.tobytes(),), SETS, width), "node long, items binary"), "sets")
+    # texts stay where they are: a filter lets the wanted ones pass, and few others, which the joins leave out
+    sets = staged_texts(rows.mapInArrow(
+        _sets_with(lambda own: (own.tobytes(),), SETS, width, _id_filter(wanted)), "node long, items binary"), "sets")
     links = similar_links(members, sets, part, whole)
     # rows of one doc_id with different texts are different sets of the same document
     same = narrow.join(nodes, keys).filter("doc_id IS NOT NULL AND doc_id <> node").select(
