@@ -16,7 +16,7 @@ import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm.store import set_aside, staged
@@ -130,7 +130,11 @@ def sized(docs: DataFrame, seed: int) -> DataFrame:
     """``docs`` with its number of words and a hash that orders documents at random."""
     words = F.coalesce(F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")), F.lit(0))
     words = F.when(F.col("text").isNull(), F.lit(0)).otherwise(words)
-    return docs.withColumns({"__size": words.cast("long"), "__h": F.xxhash64(F.lit(seed), "doc_id", "text")})
+    return docs.withColumns({"__size": words.cast("long"), "__h": _order_hash(seed)})
+
+
+def _order_hash(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "doc_id", "text")
 
 
 def _with_blocks(rows: DataFrame, plan: Plan, spark: SparkSession) -> DataFrame:
@@ -140,6 +144,8 @@ def _with_blocks(rows: DataFrame, plan: Plan, spark: SparkSession) -> DataFrame:
     return joined.withColumn("__block", F.pmod(F.col("__h"), F.col("__blocks")).cast("int"))
 
 
+DRAWN = "__no int, __block int, __shards array<int>, __part_shard int, __words long"
+MOST_BROADCAST = 100_000  # drawn blocks, some 5 MB
 CHOSEN = ["__c_no", "__c_id", "__c_h", "__c_size"]
 
 
@@ -152,12 +158,10 @@ def _fill_blocks(frame):
     return pd.DataFrame(frame.loc[sorted(taken), ["no", "id", "h", "size"]]).set_axis(CHOSEN, axis=1)
 
 
-def decide(rows: DataFrame, narrow: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
-    """``rows`` (of ``sized``) with source_size, target, taken and shards, one shard for each time a row is taken.
-
-    ``narrow`` has the same rows, with doc_id, source, __size and __h at least, and is read several times.
-    """
-    spark = rows.sparkSession
+def _planned(narrow: DataFrame, recipe: Recipe) -> tuple[Plan, list[tuple], DataFrame]:
+    """The plan; each drawn block with its shards and, if drawn in part, that shard and the words to take; and the
+    documents taken of the latter blocks. ``narrow`` has doc_id, source, __size and __h and is read several times."""
+    spark = narrow.sparkSession
     totals = sorted(((r["source"], r["size"]) for r in narrow.groupBy("source").agg(
         F.sum("__size").alias("size")).collect()), key=lambda s: (s[0] is None, s[0] or ""))
     counts = [max(1, min(BLOCKS, size // recipe.block_words)) for _, size in totals]
@@ -173,22 +177,32 @@ def decide(rows: DataFrame, narrow: DataFrame, recipe: Recipe = Recipe()) -> Dat
             whole.setdefault((no, block), []).append(shard)
         else:
             part[no, block] = (shard, words)
-    drawn = spark.createDataFrame(
-        [(no, block, whole.get((no, block), []), *part.get((no, block), (None, None)))
-         for no, block in sorted({*whole, *part})],
-        "__no int, __block int, __shards array<int>, __part_shard int, __words long")
-    partly = _with_blocks(narrow, plan, spark).join(drawn.filter("__words IS NOT NULL"), ["__no", "__block"])
+    drawn = [(no, block, whole.get((no, block), []), *part.get((no, block), (None, None)))
+             for no, block in sorted({*whole, *part})]
+    partly = _with_blocks(narrow, plan, spark).join(
+        spark.createDataFrame(drawn, DRAWN).filter("__words IS NOT NULL"), ["__no", "__block"])
     chosen = staged(partly.groupBy(F.col("__no").alias("no"), F.col("doc_id").alias("id"), F.col("__h").alias("h"),
                                    F.col("__size").alias("size"), F.col("__words").alias("words")).agg(
         (F.count("*") * F.col("__size")).alias("weight")).groupBy("no").applyInPandas(
         _fill_blocks, "__c_no int, __c_id long, __c_h long, __c_size long"), "partly-drawn").withColumn("__chosen", F.lit(True))
-    out = _with_blocks(rows, plan, spark).join(drawn, ["__no", "__block"], "left")
+    return plan, drawn, chosen
+
+
+def _shards() -> Column:
+    """One shard for each time a row is taken."""
+    return F.concat(F.coalesce("__shards", F.array().cast("array<int>")),
+                    F.when(F.col("__chosen"), F.array("__part_shard")).otherwise(F.array().cast("array<int>")))
+
+
+def decide(narrow: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
+    """``narrow`` (of ``sized``, without texts) with source_size, target, taken and shards, one for each time taken."""
+    plan, drawn, chosen = _planned(narrow, recipe)
+    spark = narrow.sparkSession
+    out = _with_blocks(narrow, plan, spark).join(spark.createDataFrame(drawn, DRAWN), ["__no", "__block"], "left")
     same = (F.col("__part_shard").isNotNull() & (F.col("__no") == F.col("__c_no")) & (F.col("__h") == F.col("__c_h"))
             & (F.col("__size") == F.col("__c_size")) & F.col("doc_id").eqNullSafe(F.col("__c_id")))
     out = out.join(chosen, same, "left").drop(*CHOSEN)
-    shards = F.concat(F.coalesce("__shards", F.array().cast("array<int>")),
-                      F.when(F.col("__chosen"), F.array("__part_shard")).otherwise(F.array().cast("array<int>")))
-    return out.withColumns({"shards": shards, "taken": F.size(shards) * F.col("__size")}).drop(
+    return out.withColumn("shards", _shards()).withColumn("taken", F.size("shards") * F.col("__size")).drop(
         "__no", "__block", "__blocks", "__shards", "__part_shard", "__words", "__chosen")
 
 
@@ -199,14 +213,27 @@ def assess(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     without words has target 0. Rows that repeat doc_id and text are taken alike. An empty table gives no rows.
     """
     narrow = staged(sized(docs.select("doc_id", "text", "source"), recipe.seed).drop("text"), "sized")
-    return decide(narrow, narrow, recipe).select(
+    return decide(narrow, recipe).select(
         "doc_id", F.col("__size").alias("size"), "source_size", "target", "taken", "shards")
 
 
 def mix(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
-    """The mix itself: each document as often as it is taken, by shard and shuffled within it; columns of ``docs``."""
+    """The mix itself: each document as often as it is taken, by shard and shuffled within it; columns of ``docs``.
+
+    What is taken is decided without the texts. A row's block tells its shards, so every text moves once for each time
+    it is taken, to its shard; only texts of blocks drawn in part, one for each source, meet the list of documents first.
+    """
     safe, back = set_aside(docs, ["source_size", "target", "shards", "taken"])
     narrow = staged(sized(docs.select("doc_id", "text", "source"), recipe.seed).drop("text"), "sized")
-    taken = decide(sized(safe, recipe.seed), narrow, recipe)
-    one = taken.select("*", F.posexplode("shards").alias("__time", "__shard"))
+    plan, drawn, chosen = _planned(narrow, recipe)
+    spark = docs.sparkSession
+    blocks = spark.createDataFrame(drawn, DRAWN)
+    if len(drawn) <= MOST_BROADCAST:
+        blocks = F.broadcast(blocks)
+    rows = _with_blocks(safe.withColumn("__h", _order_hash(recipe.seed)), plan, spark).join(blocks, ["__no", "__block"])
+    whole = rows.filter("__part_shard IS NULL").withColumn("__all", F.col("__shards"))
+    same = (F.col("__no") == F.col("__c_no")) & (F.col("__h") == F.col("__c_h")) & F.col("doc_id").eqNullSafe(F.col("__c_id"))
+    partly = rows.filter("__part_shard IS NOT NULL").join(chosen, same, "left").withColumn("__all", _shards())
+    taken = whole.unionByName(partly.select(*whole.columns))
+    one = taken.select("*", F.posexplode("__all").alias("__time", "__shard"))
     return back(one.repartition("__shard").sortWithinPartitions("__shard", F.xxhash64("__h", "__time"), "doc_id"))
