@@ -275,3 +275,17 @@ def test_scores_pass_64_bits(spark):
 def test_collocations_without_phrases(spark, no_docs, odd_docs):
     assert collocations.mine(no_docs).count() == 0
     assert collocations.mine(odd_docs).schema == collocations.mine(no_docs).schema
+
+
+@pytest.mark.parametrize("name", ["op11_collocations", "op12_hard_negatives"])
+def test_queries_match_their_sql(spark, name):
+    import duckdb
+
+    from salesloom.llm.queries import QUERIES, SQL
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    found, want = QUERIES[name](spark, "/root/testdata/sf0.001"), con.execute(SQL[name])
+    assert found.columns == [c[0] for c in want.description]
+    assert sorted(map(tuple, found.collect())) == sorted(want.fetchall())
