@@ -341,7 +341,22 @@ def _scored(corpus: Corpus, grown: DataFrame, bar: DataFrame, rules: Rules) -> D
     # the rest after a cut is as frequent as the phrase at least; the last word's count is known
     bound = F.least(*[F.when(F.col("k") > j, _score(own, total, parts[j - 1], own)) for j in range(1, n)],
                     _score(own, total, F.col("l_last"), F.col("r_last")))
-    held = staged(known.filter(bound >= F.col("bar")), "open")
+    held = staged(known.withColumn("bound", bound).filter(F.col("bound") >= F.col("bar")), "open")
+    # best first: those of the highest bounds settle what the others must reach
+    best = _last_place(held.select("lang", F.col("bound").alias("score")), 2 * rules.top).withColumnRenamed("score", "least")
+    ahead = held.join(best, "lang", "left").withColumn("least", F.coalesce("least", F.lit(0)))
+    first = staged(_exact(corpus, ahead.filter(F.col("bound") >= F.col("least")).drop("least"), rules), "first")
+    settled = _bar(corpus, first, rules).withColumnRenamed("bar", "settled")
+    behind = staged(ahead.filter(F.col("bound") < F.col("least")).join(settled, "lang").filter(
+        F.col("bound") >= F.col("settled")).drop("least", "settled"), "behind")
+    return first if behind.isEmpty() else first.unionByName(_exact(corpus, behind, rules))
+
+
+def _exact(corpus: Corpus, held: DataFrame, rules: Rules) -> DataFrame:
+    """Score and cut of the phrases of ``held`` by the counts of all their rests."""
+    n, words = rules.longest, names(rules.longest)
+    parts = [F.col(f"l{j}") for j in range(1, n + 1)]
+    own, total = F.col("a"), F.col("total")
     # the rests of a phrase, itself among them; 0 fills up behind the last word
     padded = F.concat(F.array(*words), F.array(*[F.lit(0).cast("long")] * n))
     rests = held.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 2)).alias("cut")).withColumn(
@@ -369,13 +384,18 @@ def _scored(corpus: Corpus, grown: DataFrame, bar: DataFrame, rules: Rules) -> D
         "best.score")
 
 
+def _last_place(rows: DataFrame, top: int) -> DataFrame:
+    """The score at place ``top`` of each language that has so many rows."""
+    order = Window.partitionBy("lang").orderBy(F.desc("score"))
+    return rows.select("lang", "score").withColumn("place", F.row_number().over(order)).filter(
+        F.col("place") <= top).filter(F.col("place") == top).select("lang", "score")
+
+
 def _bar(corpus: Corpus, rows: DataFrame | None, rules: Rules) -> DataFrame:
     """The score of each language's last place so far; 0 where places are free."""
     if rows is None:
         return corpus.sizes.select("lang", F.lit(0).cast("long").alias("bar"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"))
-    last = rows.select("lang", "score").withColumn("place", F.row_number().over(order)).filter(
-        F.col("place") <= rules.top).filter(F.col("place") == rules.top).select("lang", F.col("score").alias("bar"))
+    last = _last_place(rows, rules.top).withColumnRenamed("score", "bar")
     return corpus.sizes.select("lang").join(last, "lang", "left").select("lang", F.coalesce("bar", F.lit(0)).alias("bar"))
 
 
