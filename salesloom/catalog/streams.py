@@ -204,7 +204,7 @@ def _(b): return streamed(b, "company_employees")
 def closed_inputs(b: Tables) -> runner.Inputs:
     """The inputs with a last sale and a last item far in the future.
 
-    They let the stream join give out items without a sale. The item has no product and no brand, so no table takes it.
+    They let the join give out items without a sale. The item has no product and no brand, so no table takes it.
     """
     far = F.lit(datetime.datetime(2099, 1, 1)).cast("timestamp")
 

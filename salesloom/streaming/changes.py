@@ -2,7 +2,8 @@
 
 Each stream is read once. Its batch is reduced to cells first, one row for each combination of the tables' keys with
 additive measures, and every table's changes are rolled up from the cells; no stream keeps state for a measure. Market
-tables take the changes of their company tables: sums add up, a company counts when its row is new.
+tables take the changes of their company tables: sums add up, a company counts when its row is new. Items meet their
+sales within the batch (``pairs``).
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from salesloom.operators.filters import completed, has_employee, known, with_bra
 from salesloom.operators.joins import enrich_items, name_employees, name_products
 from salesloom.plans import tables
 from salesloom.streaming.kept import PARTS, Kept, merge, read
-from salesloom.streaming.windowed import TWO_MINUTES, join_items_sales
 
 COMPANY = Kept("company_analytics", ["companyId", "sector"], ["revenue"], ["salesCount"])
 MARKET = Kept("market_analytics", ["sector"], ["marketRevenue"], ["marketSalesCount", "totalCompanies"])
@@ -106,15 +106,6 @@ def keep_items(batch: DataFrame, batch_id: int, root: str, products: DataFrame |
         cells.unpersist()
 
 
-def items_with_company(items: DataFrame, sales: DataFrame, bound: str = TWO_MINUTES,
-                       watermark: str = TWO_MINUTES, hot: DataFrame | None = None) -> DataFrame:
-    """Every item once, with ``headCompany`` of its completed sale; without one, as soon as none can come any more.
-
-    Sale ids are unique (see ``dedup_events``).
-    """
-    return join_items_sales(items, sales, bound, watermark, hot, "left")
-
-
 # ---------------------------------------------------------------- reading
 
 def result_tables(spark: SparkSession, root: str, products: DataFrame | None = None,

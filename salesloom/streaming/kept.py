@@ -56,7 +56,7 @@ def _names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove(spark: SparkSession, folder: str) -> None:
     path, fs = _path(spark, folder)
     fs.delete(path, True)
 
@@ -65,6 +65,12 @@ def _number(name: str, key: str) -> int | None:
     return int(name[len(key) + 1:]) if name.startswith(f"{key}=") else None
 
 
+def finished(spark: SparkSession, folder: str) -> list[int]:
+    """The finished generations in a folder; there are a few at most."""
+    numbers = [n for n in (_number(name, "gen") for name in _names(spark, folder)) if n is not None]
+    return [n for n in numbers if "_SUCCESS" in _names(spark, f"{folder}/gen={n}")]
+
+
 def generations(spark: SparkSession, root: str, table: Kept) -> dict[int, set[int]]:
     """The parts of each finished generation; there are a few generations for each part at most."""
     out = {}
@@ -87,14 +93,14 @@ def remove_superseded(spark: SparkSession, root: str, table: Kept, keep: int = G
         for part in found[n]:
             seen[part] = seen.get(part, 0) + 1
             if seen[part] > keep:
-                _remove(spark, f"{root}/{table.name}/gen={n}/part={part}")
+                remove(spark, f"{root}/{table.name}/gen={n}/part={part}")
                 left.discard(part)
         if not left and n < newest:
-            _remove(spark, f"{root}/{table.name}/gen={n}")
+            remove(spark, f"{root}/{table.name}/gen={n}")
     for name in _names(spark, f"{root}/{table.name}"):
         n = _number(name, "gen")
         if n is not None and n < newest and n not in found:
-            _remove(spark, f"{root}/{table.name}/{name}")
+            remove(spark, f"{root}/{table.name}/{name}")
 
 
 # ---------------------------------------------------------------- reading and merging

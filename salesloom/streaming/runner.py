@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from salesloom.session import work_folder
-from salesloom.streaming import changes
+from salesloom.streaming import changes, pairs
 from salesloom.streaming import windowed as w
 from salesloom.streaming.changes import result_tables  # noqa: F401
 from salesloom.streaming.kept import PARTS, stamp  # noqa: F401
@@ -83,10 +83,14 @@ def start_kept(inputs: Inputs, root: str, once: bool = False, of: Sequence[str]
     Each batch is fanned out to the tables of its stream. A batch that fails is run again under its number. ``hot`` are
     sales of very many lines (see ``join_items_sales``).
     """
-    joined = changes.items_with_company(inputs.items, inputs.sales, bound, watermark, hot) if "items" in of else None
+    def keep_items(batch: DataFrame, batch_id: int) -> None:
+        lines = pairs.items_with_company(batch, batch_id, root, bound, watermark, hot)
+        changes.keep_items(lines, batch_id, root, inputs.products, parts)
+
+    both = pairs.items_and_sales(inputs.items, inputs.sales) if "items" in of else None
     kinds = {
         "sales": (inputs.sales, "10 seconds", lambda df, n: changes.keep_sales(df, n, root, parts)),
-        "items": (joined, "1 minute", lambda df, n: changes.keep_items(df, n, root, inputs.products, parts)),
+        "items": (both, "1 minute", keep_items),
     }
     running = []
     for name in of:

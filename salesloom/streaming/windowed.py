@@ -135,9 +135,10 @@ def salted(df: DataFrame, key: str, hot: DataFrame | None, spread: Column, name:
 
 
 def join_items_sales(items: DataFrame, sales: DataFrame, bound: str = TWO_MINUTES,
-                     watermark: str = TWO_MINUTES, hot: DataFrame | None = None, how: str = "inner") -> DataFrame:
+                     watermark: str = TWO_MINUTES, hot: DataFrame | None = None, how: str = "inner",
+                     more: Sequence[str] = ()) -> DataFrame:
     """Items with the completed sale they belong to: branded ones under the company of the sale, or (``how="left"``)
-    all of them with that company as ``headCompany``, null where there is none.
+    all of them with that company as ``headCompany``, null where there is none. ``more`` are further columns of the sale.
 
     Both sides have a watermark and the times must lie within ``bound`` of each other, so old state is
     dropped. Streams have no run-time skew handling: the lines of a sale that is known to be ``hot`` (saleId) are spread
@@ -149,7 +150,7 @@ def join_items_sales(items: DataFrame, sales: DataFrame, bound: str = TWO_MINUTE
     lines = salted(lines, "saleId", hot, F.xxhash64("productId", "quantity", "price"), "salt")
     heads = _timed(completed(sales), watermark).select(
         F.col("saleId").alias("headId"), F.col("saleTime").alias("headTime"),
-        F.col("companyId").alias("companyId" if inner else "headCompany"))
+        F.col("companyId").alias("companyId" if inner else "headCompany"), *more)
     if hot is None:
         heads = heads.withColumn("headSalt", F.lit(0).cast("bigint"))
     else:
