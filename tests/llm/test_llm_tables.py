@@ -1,8 +1,10 @@
 """Token files, packing, WARC, near duplicates, mixing and the pipeline."""
 
+import gc
 import math
 import os
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -61,6 +63,28 @@ def test_rans_files(spark, odd_docs, no_docs, tokenizer):
     assert rans.round_trip(no_docs, tokenizer).count() == 0
 
 
+def test_rans_decoding_keeps_no_block(tmp_path):
+    ids = np.arange(100_000, dtype=np.uint32) % 1000
+    table = rans.Table.of_counts(np.bincount(ids))
+    block = rans.encode_block([5, None, 7], [1, 49_999, 50_000], ids, table)
+    (tmp_path / "table").write_bytes(table.to_bytes())
+    (tmp_path / "one.rans").write_bytes(block)
+    rows = pa.RecordBatch.from_pylist(
+        [{"file": "one.rans", "at": 0, "size": len(block), "start": 10}] * 10, schema=rans.BLOCKS)
+    decode = rans._decode(str(tmp_path))
+    got = next(decode(iter([rows]))).to_pylist()
+    assert [(r["doc_id"], r["start"], r["n_tokens"]) for r in got] == [(5, 10, 1), (None, 11, 49_999), (7, 50_010, 50_000)]
+    assert b"".join(r["ids"] for r in got) == ids.astype("<u4").tobytes()
+    del got
+    tracemalloc.start()
+    try:
+        assert sum(batch.num_rows for batch in decode(iter([rows]))) == 30
+        gc.collect()
+        assert tracemalloc.get_traced_memory()[0] < 4 * len(ids)  # less than one block's ids
+    finally:
+        tracemalloc.stop()
+
+
 def fewest(items, capacity):
     bins = []
 
